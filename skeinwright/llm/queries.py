@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, sharding, simhash, tokenstore
+from . import audio, bpe, decontam, langid, secretscan, sharding, simhash, surrogates, tokenstore, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,10 +62,68 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").cast("long").alias("ids_crc32"))
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    made = warc.derive(warc.responses(pages).select("page_id", "response"))
+    return made.select("page_id", "derived.*").withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, "text", "lang", "doc_id")
+    found = langid.identify(docs.select("doc_id", "text", "lang", "source"), model, declared="lang", host="source")
+    return found.select("doc_id", "lid.language", "lid.confidence", "lid.accepted")
+
+
+def op8_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    items = F.size("leaks.items")
+    return found.select(
+        "doc_id",
+        "leaks.n_words",
+        "leaks.n_hit",
+        items.cast("long").alias("n_items"),
+        F.sha2(F.array_join("leaks.items", ","), 256).alias("items_sha256"),
+        (items >= 2).alias("contaminated"),
+        "leaks.word_spans",
+    )
+
+
+def op9_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secretscan.BASE))
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in secretscan.BASE],
+        F.sha2(shown(base), 256).alias("base_sha256"),
+        shown(F.col("secrets")).alias("spans"),
+    )
+
+
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = surrogates.pseudonymize(docs, key="skeinwright-demo-key")
+    return done.select("doc_id", F.size("pii").cast("long").alias("n_entities"), F.array_join("pii", ",").alias("kinds"), "text")
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
-        for f in (op1_audio_features, op2_stratified_interleave, op3_simhash_bktree, op4_word_bpe, op5_token_files)
+        for f in (
+            op1_audio_features,
+            op2_stratified_interleave,
+            op3_simhash_bktree,
+            op4_word_bpe,
+            op5_token_files,
+            op6_warc_derivatives,
+            op7_language_id,
+            op8_fm_decontaminate,
+            op9_secret_automaton,
+            op10_pii_surrogates,
+        )
     }
 
 
