@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .queries import metrics
+from .shipping import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
+MODULES = (metrics,)
+
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {name: _shipped(query) for module in MODULES for name, query in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in MODULES for name, sql in module.SQL.items()}
