@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .queries import metrics
+from .queries import metrics, ordering
 from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (metrics,)
+MODULES = (metrics, ordering)
 
 
 def _shipped(query: Query) -> Query:
