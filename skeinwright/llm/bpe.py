@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import Remembered, bound_batches
 
 CACHE = 400_000
 LONG = 64
@@ -62,7 +62,7 @@ class WordBPE:
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.split = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}"))
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.cache: dict[str, bytes] = {}
+        self.cache = Remembered(CACHE)
 
     def merge(self, ids: list[int]) -> list[int]:
         """All merges of a word's symbols."""
@@ -105,16 +105,18 @@ class WordBPE:
         text = text.lower()
         if _ODD_SPACE.search(text):
             return [self.word(w) for w in self.split.findall(text)]
-        cache, out = self.cache, []
-        for chunk in text.split():
-            ids = cache.get(chunk)
-            if ids is None:
-                ids = self.chunk(chunk)
-                if len(chunk) <= LONG:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[chunk] = ids
-            out.append(ids)
+        chunks, parts = self.cache, text.split()
+        out = list(map(chunks.young.get, parts))
+        if None in out:
+            for i, found in enumerate(out):
+                if found is None:
+                    part = parts[i]
+                    found = chunks.young.get(part) or chunks.missed(part)
+                    if found is None:
+                        found = self.chunk(part)
+                        if len(part) <= LONG:
+                            chunks.put(part, found)
+                    out[i] = found
         return out
 
     def encode(self, text: str) -> bytes:

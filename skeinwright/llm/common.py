@@ -51,6 +51,26 @@ def release(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+class Remembered:
+    """A bounded cache of two generations: when the young one is full it becomes the old one, and what
+    is asked for again moves back, so frequent entries stay."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.young, self.old = size, {}, {}
+
+    def missed(self, key: str):
+        """The value if the old generation has it, else None; call it when ``young`` lacks the key."""
+        found = self.old.get(key)
+        if found is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import SPACE, byte_letters
-from .common import bound_batches, fresh_path, materialize
+from .common import Remembered, bound_batches, fresh_path, materialize
 
 MAGIC = b"SKW8B001"
 BLOCK, LANE = 1 << 16, 1024
@@ -254,18 +254,15 @@ class ByteBPE:
         self.blanks = regex.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
         self.uneven = regex.compile(rf"[{SPACE}] | [{SPACE}]|^ | $")
         self.letters = {b: c for b, c in enumerate(byte_letters())}
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.words, self.chunks = Remembered(CACHE), Remembered(CACHE)
 
     def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
+        found = self.words.young.get(word) or self.words.missed(word)
         if found is None:
             shown = word.encode().decode("latin-1").translate(self.letters)
             found = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
             if len(word) <= LONG:
-                if len(self.words) >= CACHE:
-                    self.words.clear()
-                self.words[word] = found
+                self.words.put(word, found)
         return found
 
     def _chunk(self, chunk: str) -> bytes:
@@ -277,17 +274,20 @@ class ByteBPE:
         if any(a in text for a in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
         parts = self.blanks.split(text) if self.uneven.search(text) else text.split(" ")
-        chunks, out, first = self.chunks, [], True
-        for part in parts:
-            found = chunks.get(part) if not first else None
-            if found is None:
-                found = self._chunk(part if first else " " + part)
-                if not first and len(part) <= LONG:
-                    if len(chunks) >= CACHE:
-                        chunks.clear()
-                    chunks[part] = found
-                first = False
-            out.append(found)
+        chunks = self.chunks
+        first = self._chunk(parts[0])
+        out = list(map(chunks.young.get, parts))
+        out[0] = first
+        if None in out:
+            for i, found in enumerate(out):
+                if found is None:
+                    part = parts[i]
+                    found = chunks.young.get(part) or chunks.missed(part)
+                    if found is None:
+                        found = self._chunk(" " + part)
+                        if len(part) <= LONG:
+                            chunks.put(part, found)
+                    out[i] = found
         return np.frombuffer(b"".join(out), "<u4")
 
 
