@@ -23,7 +23,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, once
 
 PAD = 64
 STORED_RATE, RATE = 12_000, 8_000
@@ -224,4 +224,4 @@ def media_table(df: DataFrame, text: str = "text", media: str = "media") -> Data
 def audio_features(df: DataFrame, media: str = "media", out: str = "features") -> DataFrame:
     """Adds a FEATURES struct computed from the stored media values."""
     bound_batches(df.sparkSession)
-    return df.withColumn(out, F.arrow_udf(_features, FEATURES)(F.col(media)))
+    return df.withColumn(out, once(_features, FEATURES)(F.col(media)))

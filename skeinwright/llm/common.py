@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..shipping import ship
 
@@ -78,7 +79,7 @@ def _clean() -> None:
             release(spark, path)
 
 
-def bound_batches(spark: SparkSession, rows: int = 1024, mb: int = 24) -> None:
+def bound_batches(spark: SparkSession, rows: int = 512, mb: int = 16) -> None:
     """Arrow batches of at most so many rows and MB, so that long texts don't fill a worker; workers get the package."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -86,5 +87,11 @@ def bound_batches(spark: SparkSession, rows: int = 1024, mb: int = 24) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
 
 
+def once(function, returns: str):
+    """An Arrow function that the optimizer may not copy: a filter on its result would run it again, in
+    further worker processes."""
+    return F.arrow_udf(function, returns).asNondeterministic()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

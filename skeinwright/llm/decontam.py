@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, once
 
 WINDOW = 8
 SAMPLE = 8
@@ -36,10 +36,10 @@ WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 RESULT = (
     "struct<n_words:bigint,n_hit:bigint,items:array<string>,"
-    "word_spans:array<struct<start:int,end:int>>,byte_spans:array<struct<start:int,end:int>>>"
+    "word_spans:array<struct<start:int,end:int>>,byte_spans:array<struct<start:int,end:int>>,cleaned:binary>"
 )
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-_RESULT = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("word_spans", _SPANS), ("byte_spans", _SPANS)])
+_RESULT = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("word_spans", _SPANS), ("byte_spans", _SPANS), ("cleaned", pa.binary())])
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -216,6 +216,15 @@ def occurrences(codes: np.ndarray, ends: np.ndarray, windows: Windows) -> tuple[
     return pattern[which], source[place]
 
 
+def cut(text: bytes, spans: list[dict]) -> bytes:
+    """The text without the spans."""
+    out, at = [], 0
+    for s in spans:
+        out.append(text[at : s["start"]])
+        at = s["end"]
+    return b"".join([*out, text[at:]])
+
+
 def scan(texts: list[bytes | None], blocks) -> list[dict]:
     """The result of each document of a shard; ``blocks`` gives the Windows of each block in turn."""
     found = [words(t) for t in texts]
@@ -249,7 +258,7 @@ def scan(texts: list[bytes | None], blocks) -> list[dict]:
     n_hit = summed[ends] - summed[begins]
     out = []
     for d, text in enumerate(texts):
-        row = {"n_words": int(counts[d]), "n_hit": int(n_hit[d]), "items": sorted(items[d]), "word_spans": [], "byte_spans": []}
+        row = {"n_words": int(counts[d]), "n_hit": int(n_hit[d]), "items": sorted(items[d]), "word_spans": [], "byte_spans": [], "cleaned": None}
         if n_hit[d]:
             mask = np.concatenate([[False], hit[begins[d] : ends[d]], [False]])
             edges = np.flatnonzero(mask[1:] != mask[:-1]).tolist()
@@ -257,6 +266,7 @@ def scan(texts: list[bytes | None], blocks) -> list[dict]:
             for a, b in zip(edges[::2], edges[1::2], strict=True):
                 row["word_spans"].append({"start": a, "end": b})
                 row["byte_spans"].append({"start": places[a][0], "end": places[b - 1][1]})
+            row["cleaned"] = cut(text, row["byte_spans"])
         out.append(row)
     return out
 
@@ -273,30 +283,17 @@ def _blocks(benchmark: DataFrame, item: str, text: str, size: int, block_bytes:
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", out: str = "leaks", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Adds a RESULT struct: counts, items that occur, and the merged spans to remove."""
+    """Adds a RESULT struct: counts, items that occur, the merged spans to remove, and for texts with such
+    spans the text without them."""
     bound_batches(df.sparkSession)
     blocks = list(_blocks(benchmark, item, item_text, size, block_bytes))
 
     def run(texts: pa.Array) -> pa.Array:
         return pa.array(scan(texts.to_pylist(), (b.value for b in blocks)), _RESULT)
 
-    return df.withColumn(out, F.arrow_udf(run, RESULT)(F.col(text).cast("binary")))
-
-
-def cut(text: bytes, spans: list[dict]) -> bytes:
-    """The text without the spans."""
-    out, at = [], 0
-    for s in spans:
-        out.append(text[at : s["start"]])
-        at = s["end"]
-    return b"".join([*out, text[at:]])
-
-
-def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    return pa.array([t if not s else cut(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.binary())
+    return df.withColumn(out, once(run, RESULT)(F.col(text).cast("binary")))
 
 
 def remove_spans(df: DataFrame, text: str = "text", leaks: str = "leaks") -> DataFrame:
     """The text column without its removal spans."""
-    cleaned = F.arrow_udf(_cut, "binary")(F.col(text).cast("binary"), F.col(f"{leaks}.byte_spans")).cast("string")
-    return df.withColumn(text, F.when(F.size(f"{leaks}.byte_spans") > 0, cleaned).otherwise(F.col(text)))
+    return df.withColumn(text, F.coalesce(F.col(f"{leaks}.cleaned").cast("string"), F.col(text)))

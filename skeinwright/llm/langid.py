@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize
+from .common import bound_batches, materialize, once
 
 FIT_ROWS = 4000
 BUCKETS = 1 << 15
@@ -189,7 +189,7 @@ def identify(
         own = shared.value
         return pa.array([own.score(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
 
-    score = F.arrow_udf(run, "array<double>")(F.col(text).cast("binary"))
+    score = once(run, "array<double>")(F.col(text).cast("binary"))
     where = F.lower(F.col(host)) if host else host_of(F.col(address)) if address else F.lit(None).cast("string")
     priors = host_priors(df.select(where.alias("_host"), score.alias("_ll")), "_host", "_ll", languages)
     if priors.count() <= BROADCAST_ROWS:  # else the rows are joined by shuffle

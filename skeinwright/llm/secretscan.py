@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, once
 
 
 @dataclass(frozen=True)
@@ -359,7 +359,7 @@ def _spans(texts: pa.Array) -> pa.Array:
 def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
     """Adds the spans of every rule's matches."""
     bound_batches(df.sparkSession)
-    return df.withColumn(out, F.arrow_udf(_spans, SPANS)(F.col(text).cast("binary")))
+    return df.withColumn(out, once(_spans, SPANS)(F.col(text).cast("binary")))
 
 
 def redact(text: str, spans: list[dict]) -> str:
@@ -372,11 +372,16 @@ def redact(text: str, spans: list[dict]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _redact(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    return pa.array([t if not s else redact(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
+def _redacted(texts: pa.Array) -> pa.Array:
+    out = []
+    for t in texts.to_pylist():
+        spans = spans_of(t.encode() if t else None)
+        out.append({"spans": spans, "redacted": redact(t, spans) if spans else None})
+    return pa.array(out, pa.struct([("spans", _SPANS), ("redacted", pa.string())]))
 
 
-def redact_secrets(df: DataFrame, text: str = "text", secrets: str = "secrets") -> DataFrame:
-    """The text column with its secrets replaced."""
-    cleaned = F.arrow_udf(_redact, "string")(F.col(text), F.col(secrets))
-    return df.withColumn(text, F.when(F.size(secrets) > 0, cleaned).otherwise(F.col(text)))
+def redact_secrets(df: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
+    """The text column with its secrets replaced; adds the spans, in the text as it was."""
+    bound_batches(df.sparkSession)
+    found = df.withColumn(out, once(_redacted, f"struct<spans:{SPANS},redacted:string>")(F.col(text)))
+    return found.withColumn(text, F.coalesce(F.col(f"{out}.redacted"), F.col(text))).withColumn(out, F.col(f"{out}.spans"))

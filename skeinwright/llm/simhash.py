@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize
+from .common import bound_batches, materialize, once
 from .components import connected_components
 
 SHINGLE, SEED, RADIUS, CAP = 3, 42, 3, 2048
@@ -62,7 +62,7 @@ def _fingerprints(texts: pa.Array) -> pa.Array:
 def fingerprints(df: DataFrame, text: str = "text", out: str = "fp") -> DataFrame:
     """Adds the fingerprint, as the signed long of the same bits."""
     bound_batches(df.sparkSession)
-    return df.withColumn(out, F.arrow_udf(_fingerprints, "bigint")(df[text].cast("binary")))
+    return df.withColumn(out, once(_fingerprints, "bigint")(df[text].cast("binary")))
 
 
 class BKTree:
