@@ -41,8 +41,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secretscan.find_secrets(docs, out="_secrets")
-    return secretscan.redact_secrets(found, secrets="_secrets").select(*docs.columns)
+    return secretscan.redact_secrets(docs, out="_secrets").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
