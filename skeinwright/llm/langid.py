@@ -9,8 +9,9 @@ of every row's text-only posterior. The sum is
     log P(l | host) + text(l) + log P(declared | l) + log P(suffix | l)
 
 where text(l) is the mean trigram log-likelihood times the number of trigrams, at most ``EVIDENCE``
-(trigrams of a text depend on each other). A text is rejected if it has no letters or if a uniform model
-of unknown text beats every language, or if the best language's posterior is under ``ACCEPT``.
+(trigrams of a text depend on each other). A text is rejected if it has no letters, if a uniform model of
+unknown text with its small prior beats the whole sum of every language, or if the best language's
+posterior is under ``ACCEPT``.
 
 Defined results: a null text, or one without letters, has language ``und`` and is rejected; null or
 unknown declarations, addresses and hosts are no evidence. A tie goes to the language first in order.
@@ -36,7 +37,7 @@ BUCKETS = 1 << 15
 EVIDENCE = 60.0
 ACCEPT = 0.5
 SMOOTH = 8.0
-UNKNOWN = -11.0
+UNKNOWN, UNKNOWN_PRIOR = -11.0, 0.0005
 DECLARED_TRUST, SUFFIX_TRUST = 0.8, 0.6
 BROADCAST_ROWS = 50_000
 #: The language of country suffixes, where one clearly leads (fixed values).
@@ -206,8 +207,9 @@ def identify(
         _vote(said, languages, DECLARED_TRUST),
         _vote(by_suffix, languages, SUFFIX_TRUST),
     )
-    unknown = F.element_at("_ll", n + 1) > F.array_max(F.slice("_ll", 1, n))
-    both = both.withColumn("_post", F.when(F.col("_ll").isNotNull(), _softmax(fused)))
+    both = both.withColumn("_fused", F.when(F.col("_ll").isNotNull(), fused))
+    unknown = F.element_at("_ll", n + 1) + F.lit(math.log(UNKNOWN_PRIOR)) > F.array_max("_fused")
+    both = both.withColumn("_post", F.when(F.col("_fused").isNotNull(), _softmax(F.col("_fused"))))
     best = F.array_max("_post")
     named = F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position("_post", best).cast("int"))
     usable = F.col("_ll").isNotNull() & ~unknown
@@ -216,4 +218,4 @@ def identify(
         F.when(usable, F.round(best, 6)).otherwise(F.lit(0.0)).alias("confidence"),
         F.coalesce(usable & (best >= ACCEPT), F.lit(False)).alias("accepted"),
     )
-    return both.withColumn(out, result).drop("_host", "_ll", "_post", "prior")
+    return both.withColumn(out, result).drop("_host", "_ll", "_fused", "_post", "prior")

@@ -49,8 +49,8 @@ def extract_text(page: str) -> str:
     """The visible text of a page, a line for each block."""
 
     def swap(m: re.Match) -> str:
-        name = m[2]
-        return "\n" if (name and name.lower() in BLOCKS) or m[1] else ""
+        name = (m[1] or m[2] or "").lower()
+        return "\n" if name in BLOCKS else ""
 
     flat = html.unescape(_MARKUP.sub(swap, page.replace("\r", " ").replace("\n", " ")))
     lines = (_SPACES.sub(" ", line).strip() for line in flat.split("\n"))
