@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,7 +87,7 @@ def op8_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         items.cast("long").alias("n_items"),
         F.sha2(F.array_join("leaks.items", ","), 256).alias("items_sha256"),
         (items >= 2).alias("contaminated"),
-        "leaks.word_spans",
+        F.array_join(F.transform("leaks.word_spans", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",").alias("word_spans"),
     )
 
 
@@ -127,5 +128,47 @@ def queries() -> dict[str, Query]:
     }
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP8_SQL = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, n, array_to_string(w[p : p + n - 1], ' ') AS k FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM (SELECT *, least({decontam.WINDOW}, len(w)) AS n FROM b WHERE len(w) > 0))),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') AS k FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM iw))),
+h AS (SELECT doc_id, n, p, item FROM dw JOIN iw USING (n, k)),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h WHERE item IS NOT NULL) GROUP BY doc_id),
+c AS (SELECT DISTINCT doc_id, p - 1 + o AS q FROM (SELECT doc_id, p, unnest(range(n)) AS o FROM h)),
+r AS (SELECT doc_id, min(q) AS a, max(q) + 1 AS z, count(*) AS n FROM (SELECT doc_id, q, q - row_number() OVER (PARTITION BY doc_id ORDER BY q) AS g FROM c) GROUP BY doc_id, g),
+s AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_hit, string_agg(a || '-' || z, ',' ORDER BY a) AS word_spans FROM r GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated, coalesce(word_spans, '') AS word_spans
+FROM d LEFT JOIN i USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+
+def _either_case(pattern: str) -> str:
+    """Each letter outside of classes and escapes in both ASCII cases."""
+    return re.sub(r"\\x..|\\.|\[[^]]*\]|[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]" if len(m[0]) == 1 else m[0], pattern)
+
+
+def _op9_sql() -> str:
+    parts = []
+    for k, rule in enumerate(secretscan.RULES):
+        pattern = rule.pattern.replace("{16,}", "+")
+        pattern = (_either_case(pattern) if rule.any_case else pattern).replace("'", "''")
+        size = f"length(regexp_extract(m, '{pattern}', 2))" if rule.value else "length(m)"
+        parts.append(
+            f"SELECT doc_id, {k} AS k, '{rule.kind}' AS kind, a, a + length(m) AS z FROM (SELECT *, sum(length(g)) OVER o + coalesce(sum(length(m)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM"
+            f" (SELECT doc_id, unnest(string_split_regex(t, '{pattern}')) AS g, unnest(regexp_extract_all(t, '{pattern}')) AS m, unnest(range(len(string_split_regex(t, '{pattern}')))) AS i FROM d) WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE m IS NOT NULL AND {size} >= {rule.least}"
+        )
+    shown = "kind || ':' || CAST(a AS BIGINT) || ':' || CAST(z AS BIGINT)"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secretscan.BASE)
+    base = f"kind IN ({', '.join(repr(k) for k in secretscan.BASE)})"
+    return (
+        f"WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS ({' UNION ALL '.join(parts)})"
+        f" SELECT doc_id, {counts}, sha256(coalesce(string_agg({shown}, ',' ORDER BY a, k) FILTER ({base}), '')) AS base_sha256, coalesce(string_agg({shown}, ',' ORDER BY a, k), '') AS spans FROM d LEFT JOIN m USING (doc_id) GROUP BY doc_id"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The two whose results SQL can express on whole tables; tests hold the others against plain code."""
+    return {"op8_fm_decontaminate": OP8_SQL, "op9_secret_automaton": _op9_sql()}

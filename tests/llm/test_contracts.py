@@ -212,3 +212,10 @@ def test_op10(spark, sf, docs):
         if not got[i].n_entities:
             assert got[i].text == text
     assert some
+
+
+@pytest.mark.parametrize("name", sorted(q.oracle_sql()))
+def test_sql_twins(spark, sf, name):
+    import compare
+
+    assert compare.differences(spark, q.queries()[name], q.oracle_sql()[name], sf) == ""
