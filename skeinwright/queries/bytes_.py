@@ -288,7 +288,7 @@ SQL = {
     "tcp_reassembly": f"{_E} SELECT id % 8 AS conn, count(*) AS n, CAST(sum(strlen(payload)) AS BIGINT) AS bytes FROM frames GROUP BY 1",
     "can_decode": "WITH s AS (SELECT k AS seq, (4294000000 + CAST(floor(k / 100e0 * 1e6) AS BIGINT)) % 4294967296 AS us FROM range(65000, 67000) r(k) WHERE k % 700 <> 0) SELECT seq, CAST(CASE seq % 3 WHEN 0 THEN 256 WHEN 1 THEN 512 ELSE 768 END AS INT) AS can_id, seq % 65536 AS seq16, us AS sent_us, seq % 1000 AS latency_us, coalesce(seq <> lag(seq) OVER (ORDER BY seq) + 1, false) AS gap FROM s",
     "gen_lidar": f"SELECT seq, i, round(CAST(CAST({_BASE} * cos{_ANGLE} AS FLOAT) AS DOUBLE), 4) + 0e0 AS x, round(CAST(CAST({_BASE} * sin{_ANGLE} AS FLOAT) AS DOUBLE), 4) + 0e0 AS y, round(CAST(CAST(0.1e0 * sin({_ANGLE} * 4e0) AS FLOAT) AS DOUBLE), 4) + 0e0 AS z FROM range(20) a(seq), range(90) b(i)",
-    "gen_camera": "SELECT seq, 576 AS bytes, CAST(sum(((x + seq % 256) % 256) + ((y + seq % 256) % 256) + ((x + y) % 256)) AS BIGINT) AS total FROM range(250, 260) a(seq), range(16) b(x), range(12) c(y) GROUP BY seq",
+    "gen_camera": "SELECT seq, CAST(576 AS BIGINT) AS bytes, CAST(sum(((x + seq % 256) % 256) + ((y + seq % 256) % 256) + ((x + y) % 256)) AS BIGINT) AS total FROM range(250, 260) a(seq), range(16) b(x), range(12) c(y) GROUP BY seq",
     "gen_imu": "SELECT seq, round(cos(0.2e0 * sin(t * 0.5e0) * 0.5e0), 6) AS orientation_w, round(sin(0.2e0 * sin(t * 0.5e0) * 0.5e0), 6) AS orientation_z, round(0.1e0 * cos(t * 0.5e0), 6) AS angular_z, 9.81e0 AS linear_z FROM (SELECT k AS seq, k / 200e0 AS t FROM range(500) r(k))",
     "gen_gps": "SELECT seq, round(40.4237e0 + 50e0 * sin(t * 0.1e0) / 111320e0, 9) AS latitude, round(-86.9212e0 + 50e0 * cos(t * 0.1e0) / (111320e0 * cos(radians(40.4237e0))), 9) AS longitude, 200e0 AS altitude FROM (SELECT k AS seq, k / 20e0 AS t FROM range(500) r(k))",
     "gen_can": f"SELECT seq, CAST(CASE seq % 3 WHEN 0 THEN 256 WHEN 1 THEN 512 ELSE 768 END AS INT) AS can_id, CAST(8 AS INT) AS dlc, {_SIGNAL} AS signal, seq % 65536 AS seq16, CAST(floor(t * 1e6) AS BIGINT) % 4294967296 AS us FROM (SELECT k AS seq, k / 100e0 AS t FROM range(600) r(k))",
