@@ -16,6 +16,7 @@ MODULES = (metrics, ordering, bytes_)
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # capture times have no zone of their own
         return query(spark, sf_dir)
 
     return run
