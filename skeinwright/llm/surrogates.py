@@ -4,14 +4,17 @@ Entities (addresses of mail and network, telephone, card, account and social-sec
 names) are found by one pattern. Each is brought to a canonical form (case and punctuation don't tell
 two mentions apart, and a name goes word by word), and gets a replacement that depends on the key, the
 kind and the canonical form alone, so all mentions in all documents stay together. Letters become letters
-of the same script, case and kind (vowel or consonant), digits digits, and punctuation stays; country
+of the same script and case (Latin and Cyrillic ones of the same kind, vowel or consonant; others of the
+same code-point block), digits digits, and punctuation stays; country
 codes, top domains, the card's first digit and a name's last letter stay; card and account numbers get
 valid check digits where they had them; known given names become given names of the same gender and
 script. A character's shift depends on the characters before it, so canonical forms of one shape can't
 meet in one surrogate.
 
 What is left is checked over the whole corpus: surrogates of two different entities, or one that equals
-another real entity, are drawn again with the next attempt number until none is left. Only the entities
+another real entity, are drawn again with the next attempt number until none is left. Where ``ROUNDS``
+attempts are not enough, since a shape has too few forms left, surrogates grow: by 1, 2, 4, up to 64
+letters or digits, each drawn too, and addresses of four numbers move among all of them. Only the entities
 with an attempt number over 0 need more than the expression; they go into the plan in blocks of at most
 ``BLOCK`` entries.
 
@@ -24,6 +27,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import json
+import unicodedata
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +37,8 @@ from .common import materialize
 
 BLOCK = 5000
 ROUNDS = 30
+#: The longest growth of a surrogate, and the rounds that may grow one.
+GROWTH, GROWING = 64, 40
 
 #: Given names by script and gender, titles, and letters (fixed values).
 GIVEN = {
@@ -122,6 +129,59 @@ def _given(key: str) -> dict[str, str]:
     return out
 
 
+@cache
+def _letters() -> tuple[tuple[str, ...], tuple[tuple[int, int], ...]]:
+    """Alphabets of all letters and numbers outside of ALPHABETS, by script, block of 128 and case; runs of
+    64 or more, such as CJK and Hangul, are ranges of code points. Fewer than four join their script."""
+    known, runs, groups = set("".join(ALPHABETS)), [], {}
+    for code in range(128, 0x110000):
+        c = chr(code)
+        what = unicodedata.category(c)
+        if what[0] not in "LN" or c in known:
+            continue
+        if what in ("Ll", "Lu", "Lt"):  # of the lower-case ones, those that upper() and lower() give back stay apart
+            what += "" if len(c.upper()) == 1 and c.upper() != c and c.upper().lower() == c else "-"
+        group = (unicodedata.name(c, "OTHER").split("-")[0].split()[0], what)
+        if runs and runs[-1][0] == group and runs[-1][2] == code - 1:
+            runs[-1][2] = code
+        else:
+            runs.append([group, code, code])
+    for group, low, high in runs:
+        if high - low < 63:
+            for code in range(low, high + 1):
+                groups.setdefault((*group, code >> 7), []).append(chr(code))
+    small = {}
+    for k in [k for k, v in groups.items() if len(v) < 4]:
+        small.setdefault(k[:2], []).extend(groups.pop(k))
+    rest = [v for v in small.values() if len(v) < 4]
+    alphabets = [*groups.values(), *(v for v in small.values() if len(v) >= 4), [c for v in rest for c in v]]
+    return tuple("".join(v) for v in alphabets if len(v) > 1), tuple((a, b) for _, a, b in runs if b - a >= 63)
+
+
+def _other_letter(c: str, k: str) -> str:
+    """SQL for the substitution of a letter or number outside of ALPHABETS."""
+    alphabets, ranges = _letters()
+    own = f"get(filter(array({', '.join(map(_q, alphabets))}), la -> instr(la, {c}) > 0), 0)"
+    span = f"get(filter(array({', '.join(f'struct({a} as a, {b - a + 1} as n)' for a, b in ranges)}), lr -> ascii({c}) between lr.a and lr.a + lr.n - 1), 0)"
+    code = f"lv.a + pmod(ascii({c}) - lv.a + 1 + pmod({k}, lv.n - 1), lv.n)"
+    char = f"decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32')"
+    # letters newer than this Python's tables become Latin ones
+    far = f"transform(array({span}), lv -> if(lv is null, substr({_q(ALPHABETS[2])}, 1 + pmod({k}, {len(ALPHABETS[2])}), 1), {char}))[0]"
+    return f"transform(array({own}), lo -> if(lo is null, {far}, substr(lo, 1 + pmod(instr(lo, {c}) + pmod({k}, length(lo) - 1), length(lo)), 1)))[0]"
+
+
+def _growth(attempt: str, rounds: int) -> str:
+    """SQL for the letters that a surrogate grows by: none in the first ``rounds`` attempts."""
+    return f"if({attempt} > {rounds}, cast(least({GROWTH}, pow(2, {attempt} - {rounds + 1})) as int), 0)"
+
+
+def _grown(kind: str, canon: str, attempt: str, rounds: int) -> str:
+    """SQL for the canonical form with places for more letters in front, or for more digits behind."""
+    more = _growth(attempt, rounds)
+    first = f"if({canon} rlike '^[\\\\p{{L}}\\\\p{{N}}]', left({canon}, 1), 'b')"
+    return f"if({attempt} <= {rounds}, {canon}, if({kind} in ('name', 'email'), concat(repeat({first}, {more}), {canon}), concat({canon}, repeat('0', {more}))))"
+
+
 def _shifted(kind: str, canon: str, attempt: str, key: str) -> str:
     """SQL for the keyed substitution of a canonical form, in place."""
     keyed = f"conv(substr(sha2(concat_ws('|', {_q(key)}, {kind}, {attempt}, substr({canon}, 1, ci - 1)), 256), 1, 8), 16, 10)"
@@ -134,47 +194,52 @@ def _shifted(kind: str, canon: str, attempt: str, key: str) -> str:
     for letters in ALPHABETS:
         at = f"instr({_q(letters)}, cx.c)"
         cases.append(f"when {at} > 0 then substr({_q(letters)}, 1 + pmod({at} + pmod(cx.k, {len(letters) - 1}), {len(letters)}), 1)")
+    cases.append(f"when cx.c rlike '[\\\\p{{L}}\\\\p{{N}}]' then {_other_letter('cx.c', 'cx.k')}")
     return f"array_join(transform({cells}, cx -> case {' '.join(cases)} else cx.c end), '')"
 
 
-def _octets(canon: str, attempt: str, key: str) -> str:
-    """SQL for an address of four numbers: each moves within the numbers of as many digits."""
+def _octets(canon: str, attempt: str, key: str, rounds: int) -> str:
+    """SQL for an address of four numbers: each moves within the numbers of as many digits, and after
+    ``rounds`` attempts within all."""
     keyed = f"cast(conv(substr(sha2(concat_ws('|', {_q(key)}, 'ip', {attempt}, array_join(slice(split({canon}, '[.]'), 1, oi), '.')), 256), 1, 8), 16, 10) as bigint)"
     cells = f"transform(split({canon}, '[.]'), (ov, oi) -> named_struct('v', cast(ov as int), 'k', {keyed}))"
     move = lambda low, n: f"{low} + pmod(ox.v - {low} + 1 + pmod(ox.k, {n - 1}), {n})"
-    moved = f"case when ox.v < 10 then {move(0, 10)} when ox.v < 100 then {move(10, 90)} else {move(100, 156)} end"
+    moved = f"case when {attempt} > {rounds} then {move(0, 256)} when ox.v < 10 then {move(0, 10)} when ox.v < 100 then {move(10, 90)} else {move(100, 156)} end"
     return f"array_join(transform({cells}, ox -> cast({moved} as string)), '.')"
 
 
-def surrogate(kind: str, canon: str, attempt: str, key: str) -> str:
+def surrogate(kind: str, canon: str, attempt: str, key: str, rounds: int = ROUNDS) -> str:
     """SQL for the surrogate of a canonical form, canonical itself."""
-    plain = _shifted(kind, canon, attempt, key)
-    card = f"transform(array({plain}), sv -> concat(left(sv, length(sv) - 1), {_luhn('sv', 'length(sv)')}))[0]"
+    plain = f"transform(array({_grown(kind, canon, attempt, rounds)}), gc -> {_shifted(kind, 'gc', attempt, key)})[0]"
+    card = f"concat(left(sv, length(sv) - 1), {_luhn('sv', 'length(sv)')})"
     rest = "substr(sv, 5)"
     turned = f"concat({rest}, left(sv, 2), '00')"
     check = f"lpad(cast(98 - {_mod97(turned)} as string), 2, '0')"
-    iban = f"transform(array({plain}), sv -> concat(left(sv, 2), {check}, {rest}))[0]"
+    iban = f"concat(left(sv, 2), {check}, {rest})"
     given = _given(key)
     names = f"map({', '.join(f'{_q(k)}, {_q(v)}' for k, v in given.items())})"
+    drawn = f"transform(array({plain}), sv -> case when {kind} = 'card' then {card} when {kind} = 'iban' then {iban} else sv end)[0]"
     return (
-        f"case when {kind} = 'ip' then {_octets(canon, attempt, key)} when {kind} = 'card' then {card}"
-        f" when {kind} = 'iban' then {iban} when {kind} = 'name' and {attempt} = 0 then coalesce(element_at({names}, {canon}), {plain})"
-        f" else {plain} end"
+        f"case when {kind} = 'ip' then {_octets(canon, attempt, key, rounds)}"
+        f" when {kind} = 'name' and {attempt} = 0 then coalesce(element_at({names}, {canon}), {drawn}) else {drawn} end"
     )
 
 
 def _dressed(e: str, s: str, kind: str) -> str:
     """SQL for a canonical surrogate in the form of the mention: its punctuation and its case."""
     digit = f"substr({e}, di, 1) rlike '[0-9]'"
-    place = f"length({_digits(f'substr({e}, 1, di)')}) - (length({_digits(e)}) - length({s}))"
+    size = f"if({kind} = 'phone', least(10, length({_digits(e)})), length({_digits(e)}))"
+    blanks = f"length(replace({e}, ' ', ''))"
+    past = lambda n: f"substr({s}, {n} + 1)"  # noqa: E731  what a surrogate has grown by
+    place = f"length({_digits(f'substr({e}, 1, di)')}) - (length({_digits(e)}) - {size})"
     numbers = f"array_join(transform(sequence(1, length({e})), di -> if({digit} and {place} > 0, substr({s}, {place}, 1), substr({e}, di, 1))), '')"
     blank = f"length(replace(substr({e}, 1, di), ' ', ''))"
     spaced = f"array_join(transform(sequence(1, length({e})), di -> if(substr({e}, di, 1) = ' ', ' ', substr({s}, {blank}, 1))), '')"
     cased = (
         f"case when length({e}) = length({s}) then array_join(transform(sequence(1, length({e})), di -> if(lower(substr({e}, di, 1)) <> substr({e}, di, 1), upper(substr({s}, di, 1)), substr({s}, di, 1))), '')"
-        f" when upper({e}) = {e} then upper({s}) else concat(upper(left({s}, 1)), substr({s}, 2)) end"
+        f" when lower({e}) = {e} then {s} when upper({e}) = {e} then upper({s}) else concat(upper(left({s}, 1)), substr({s}, 2)) end"
     )
-    return f"case when {kind} in ('email', 'name') then {cased} when {kind} = 'ip' then {s} when {kind} = 'iban' then {spaced} else {numbers} end"
+    return f"case when {kind} in ('email', 'name') then {cased} when {kind} = 'ip' then {s} when {kind} = 'iban' then concat({spaced}, {past(blanks)}) else concat({numbers}, {past(size)}) end"
 
 
 def _entities(text: Column) -> Column:
@@ -183,10 +248,10 @@ def _entities(text: Column) -> Column:
 
 def assignments(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """(kind, canon, attempt, surr) of each different atom: no two share a surrogate, and none is real."""
-    draw = F.expr(surrogate("kind", "canon", "attempt", key))
+    draw = F.expr(surrogate("kind", "canon", "attempt", key, rounds))
     real = materialize(entities.distinct(), "entities")
     state = materialize(real.withColumn("attempt", F.lit(0)).withColumn("surr", draw), "surrogates")
-    for _ in range(rounds):
+    for _ in range(rounds + GROWING):
         claims = state.groupBy("surr").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("attempt", "kind", "canon")).alias("owner"))
         claims = claims.filter("n > 1").select(F.col("surr").alias("s"), "owner")
         shared = state.join(claims, state["surr"] == claims["s"]).filter(F.struct("attempt", "kind", "canon") != F.col("owner")).select("kind", "canon")
@@ -201,7 +266,7 @@ def assignments(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFram
         again = state.join(bad, (F.col("kind") == F.col("k")) & (F.col("canon") == F.col("c")), "left")
         again = again.withColumn("attempt", F.col("attempt") + F.col("k").isNotNull().cast("int"))
         state = materialize(again.select("kind", "canon", "attempt", F.when(F.col("k").isNull(), F.col("surr")).otherwise(draw).alias("surr")), "surrogates")
-    raise RuntimeError(f"surrogates still clash after {rounds} rounds")
+    raise RuntimeError("surrogates of 64 more characters still clash")
 
 
 def _attempts(state: DataFrame) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -289,6 +290,25 @@ def test_clashing_surrogates_are_drawn_again(spark):
     assert all(r.found == r.attempt for r in looked)
 
 
+def test_letters_of_every_script_and_full_shapes(spark):
+    texts = ["Mr. Παπαδόπουλος", "mail 漢字@例え.jp and محمد@مثال.com", "Mr. Łukaszewsšő", "Mr. 𐐀𐐨𐐨", "한국@서울.kr"]
+    got = surrogates.pseudonymize(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "k1").orderBy("doc_id").collect()
+    for text, r in zip(texts, got, strict=True):
+        assert r.text != text and not set(filter(lambda c: c.isalpha() and not c.isascii(), text[:-1])) <= set(r.text)
+    assert got[0].text.startswith("Mr. ") and all(unicodedata.name(c).startswith("GREEK") for c in got[0].text[4:])
+    assert unicodedata.name(got[1].text.split()[1][0]).startswith("CJK")
+    # every form of a shape is real: longer surrogates, each its own
+    full = [("name", c + "i") for c in "bcdfghjklmnpqrstvwxz"] + [("ip", f"1.1.{i}.{j}") for i in range(10) for j in range(10)] + [("email", "_@-.com"), ("email", "-@_.com")]
+    state = surrogates.assignments(spark.createDataFrame(full, "kind string, canon string"), "k", rounds=2).collect()
+    assert len({r.surr for r in state}) == len(full) == len(state)
+    assert not {(r.kind, r.surr) for r in state} & set(full)
+    names = spark.createDataFrame([(i, f"Mr. {c.capitalize()} / {c}@{c}.com") for i, (k, c) in enumerate(full) if k == "name"], "doc_id int, text string")
+    shown = [r.text.split(" / ")[0][4:] for r in surrogates.pseudonymize(names, "k").collect()]
+    assert len(set(shown)) == len(shown) == 20 and not {s.lower() for s in shown} & {c for _, c in full} and all(s.istitle() for s in shown)
+    grown = spark.sql("select '+1 (22) 33' as e, '122339876' as s").select(F.expr(surrogates._dressed("e", "s", "'phone'"))).head()[0]
+    assert grown == "+1 (22) 339876"
+
+
 def test_warc_records():
     page = "<html><head><title>t</title><style>x</style></head><body><p>A &amp; B<br>C<!-- no --><script>1<2</script> d</p></body></html>"
     assert warc.extract_text(page) == "A & B\nC d"
