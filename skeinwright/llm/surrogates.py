@@ -1,7 +1,8 @@
 """Surrogates for personal data, with built-in functions only.
 
 Entities (addresses of mail and network, telephone, card, account and social-security numbers, titled
-names) are found by one pattern. Each is brought to a canonical form (case and punctuation don't tell
+names) are found by one pattern; in a text with titled names, further mentions of the same name words,
+capital first, are found too and replaced alike. Each is brought to a canonical form (case and punctuation don't tell
 two mentions apart, and a name goes word by word), and gets a replacement that depends on the key, the
 kind and the canonical form alone, so all mentions in all documents stay together. Letters become letters
 of the same script and case (Latin and Cyrillic ones of the same kind, vowel or consonant; others of the
@@ -61,6 +62,8 @@ PATTERN = "|".join([
     r"(?<![\w+.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
     rf"(?<![\p{{L}}\p{{N}}])(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+){{0,2}}",
 ])
+#: What a name's word may end in besides the name itself.
+_ENDING = r"(?<=\p{L}\p{L})(?:['’][sS]|['’-]+)$"
 KINDS = ("email", "ip", "ssn", "iban", "card", "digits", "phone", "name")
 
 
@@ -110,12 +113,22 @@ def _canonical(e: str, kind: str) -> str:
     )
 
 
+def _bare(word: str) -> str:
+    """SQL for a name's word without a possessive ending."""
+    return f"regexp_replace({word}, {_q(_ENDING)}, '')"
+
+
+def _name_words(e: str) -> str:
+    """SQL for the words of a name without its title; a further mention is a word without one."""
+    words = f"split({e}, ' ')"
+    return f"transform(filter({words}, (nw, ni) -> ni > 0 or size({words}) = 1), nb -> {_bare('nb')})"
+
+
 def atoms(e: str) -> str:
     """SQL for the array of struct<kind, canon> of an entity: a name's words, else itself."""
-    names = f"filter(split({e}, ' '), (nw, ni) -> ni > 0)"
     kind = kind_of(e)
     return (
-        f"if(({kind}) = 'name', transform({names}, nw -> named_struct('kind', 'name', 'canon', lower(nw))),"
+        f"if(({kind}) = 'name', transform({_name_words(e)}, nw -> named_struct('kind', 'name', 'canon', lower(nw))),"
         f" array(named_struct('kind', {kind}, 'canon', {_canonical(e, f'({kind})')})))"
     )
 
@@ -242,8 +255,17 @@ def _dressed(e: str, s: str, kind: str) -> str:
     return f"case when {kind} in ('email', 'name') then {cased} when {kind} = 'ip' then {s} when {kind} = 'iban' then concat({spaced}, {past(blanks)}) else concat({numbers}, {past(size)}) end"
 
 
-def _entities(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+def _with_entities(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``_names``, the words of a text's titled names, ``_pattern``, which finds further mentions of them
+    besides the rest, and ``_es``, all entities."""
+    titled = df.withColumn("_es", F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)))
+    words = F.expr(f"array_distinct(flatten(transform(filter(_es, ef -> ({kind_of('ef')}) = 'name'), et -> {_name_words('et')})))")
+    titled = titled.withColumn("_names", F.coalesce(words, F.array().cast("array<string>")))
+    longest = "array_sort(_names, (nl, nr) -> case when length(nl) > length(nr) then -1 when length(nl) < length(nr) then 1 when nl < nr then -1 when nl > nr then 1 else 0 end)"
+    again = F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?=\p{Lu})(?iu:"), F.array_join(F.expr(longest), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    found = titled.withColumn("_pattern", F.when(F.size("_names") > 0, again).otherwise(F.lit(PATTERN)))
+    more = F.regexp_extract_all(F.col(text), F.col("_pattern"), F.lit(0))
+    return found.withColumn("_es", F.when(F.size("_names") > 0, more).otherwise(F.col("_es")))
 
 
 def assignments(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
@@ -284,7 +306,7 @@ def _attempts(state: DataFrame) -> str:
 
 def pseudonymize(df: DataFrame, key: str, text: str = "text", out: str = "pii") -> DataFrame:
     """Replaces the personal data in ``text``; adds array<string> ``out`` with the kind of each entity."""
-    found = df.select(_entities(F.col(text)).alias("es")).filter("size(es) > 0")
+    found = _with_entities(df.select(F.col(text).alias("t")), "t").select(F.col("_es").alias("es")).filter("size(es) > 0")
     state = assignments(found.selectExpr(f"explode(flatten(transform(es, ae -> {atoms('ae')}))) as a").select("a.*"), key)
     attempt = _attempts(state)
     one = lambda e, kind, canon: (
@@ -292,11 +314,14 @@ def pseudonymize(df: DataFrame, key: str, text: str = "text", out: str = "pii")
         f"transform(array({surrogate('va.kind', 'va.canon', f'({attempt})', key)}), vs -> {_dressed(e, 'vs', 'va.kind')})[0])[0]"
     )
     kind = kind_of("en")
-    name = f"array_join(transform(split(en, ' '), (wd, wi) -> if(wi = 0, wd, {one('wd', _q('name'), 'lower(wd)')})), ' ')"
+    # a title stays, unless it is a word of a name too, as in 'Mr. Don Juan'
+    title = "wi = 0 and instr(en, ' ') > 0 and not exists(_names, tn -> lower(tn) = lower(wd))"
+    bare = f"transform(array({_bare('wd')}), wb -> concat({one('wb', _q('name'), 'lower(wb)')}, substr(wd, length(wb) + 1)))[0]"
+    name = f"array_join(transform(split(en, ' '), (wd, wi) -> if({title}, wd, {bare})), ' ')"
     replaced = f"transform(_es, en -> if(({kind}) = 'name', {name}, {one('en', f'({kind})', _canonical('en', f'({kind})'))}))"
-    with_es = df.withColumn("_es", _entities(F.col(text)))
+    with_es = _with_entities(df, text)
     new = F.expr(replaced)
-    gaps = F.split(F.col(text), PATTERN, -1)
+    gaps = F.split(F.col(text), F.col("_pattern"), -1)
     joined = F.array_join(F.flatten(F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda g, s: F.array(g, s))), "")
     kinds = F.coalesce(F.expr(f"transform(_es, ek -> {kind_of('ek')})"), F.array().cast("array<string>"))
     return with_es.withColumn(out, kinds).withColumn(text, F.when(F.size("_es") > 0, joined).otherwise(F.col(text))).select(*df.columns, out)

@@ -309,6 +309,23 @@ def test_letters_of_every_script_and_full_shapes(spark):
     assert grown == "+1 (22) 339876"
 
 
+def test_further_mentions_of_a_name(spark):
+    texts = ["Smith came. Mr. John Smith met Ann. John Smith said: JOHN, Smith's, Smithson, smith, x.smith@a.com", "Mrs. Weber's car. Weber left.", "Smith and John", "Mr. Don Juan left. Don Juan came; Frau Ana-Maria Li: Ana-Maria, Ana"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = surrogates.pseudonymize(rows, "k1").orderBy("doc_id").collect()
+    first, john, smith = got[0].text.split()[0], *got[0].text.split()[3:5]
+    mail = got[0].text.split()[-1]
+    assert john != "John" and smith != "Smith" and first == smith and mail != "x.smith@a.com"
+    assert got[0].text == f"{smith} came. Mr. {john} {smith} met Ann. {john} {smith} said: {john.upper()}, {smith}'s, Smithson, smith, {mail}"
+    assert got[0].pii == ["name"] * 6 + ["email"]
+    weber = got[1].text.split()[-2]
+    assert weber != "Weber" and got[1].text == f"Mrs. {weber}'s car. {weber} left."
+    assert got[2].text == texts[2] and got[2].pii == []
+    don, juan = got[3].text.split()[1:3]
+    assert don != "Don" and juan != "Juan" and f". {don} {juan} came;" in got[3].text
+    assert got[3].text.split(": ")[1].startswith(got[3].text.split("Frau ")[1].split()[0]) and got[3].text.endswith(", Ana")
+
+
 def test_warc_records():
     page = "<html><head><title>t</title><style>x</style></head><body><p>A &amp; B<br>C<!-- no --><script>1<2</script> d</p></body></html>"
     assert warc.extract_text(page) == "A & B\nC d"
