@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 next one's docs; all but the last return the columns of documents.
 
 * ``language``: documents that the language model rejects go.
-* ``near_duplicates``: of each component of SimHash links the document of least id stays.
+* ``near_duplicates``: documents whose five-word shingles have a Jaccard similarity of 0.8 or more are
+  linked; of each component the document of least id stays.
 * ``decontaminate``: documents with two or more benchmark items go; from others every benchmark passage
   is cut out.
 * ``secrets``: secrets are replaced by their kind in brackets.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwright.llm import bpe, decontam, langid, secretscan, simhash
+from skeinwright.llm import bpe, decontam, langid, secretscan, similar
 from skeinwright.llm.common import fresh_path, table
 from skeinwright.llm.queries import tokenizer_path
 
@@ -32,7 +33,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.first_of_each(docs)
+    return similar.first_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +59,7 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: Trigram models, BK-trees and automata have no SQL form; tests hold the stages against brute force.
+#: Trigram models, MinHash bands and automata have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -211,13 +211,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", radi
 def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, cap: int = CAP) -> DataFrame:
     """The rows of ``df``, all columns, without near copies: the row of least key of each component
     stays (nulls first, then by a hash of all its columns); of wholly equal rows one stays."""
+
+    def find(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = materialize(fingerprints(marked, "t").select("k", "_mark1", "_mark2", "fp"), "fingerprints")
+        return rows, classes(rows, "k", "fp", radius, cap)
+
+    return keep_first(df, key, text, find)
+
+
+def keep_first(df: DataFrame, key: str, text: str, find) -> DataFrame:
+    """The first row of each class: ``find`` takes rows (k, t, _mark1, _mark2), and returns them with ``fp``
+    in place of t, and the (fp, root) of each fp."""
     names = df.columns
     kinds = dict(df.dtypes)
     every = [F.to_json(F.struct(c)) if "map" in kinds[c] or "variant" in kinds[c] else F.col(c) for c in names]
     marks = [F.xxhash64(F.lit(i), *every).alias(f"_mark{i}") for i in (1, 2)]
-    rows = fingerprints(df.select(F.col(key).alias("k"), F.col(text).alias("t"), *marks), "t")
-    rows = materialize(rows.select("k", "_mark1", "_mark2", "fp"), "fingerprints")
-    found = classes(rows, "k", "fp", radius, cap).withColumnRenamed("fp", "node")
+    rows, found = find(df.select(F.col(key).alias("k"), F.col(text).alias("t"), *marks))
+    found = found.withColumnRenamed("fp", "node")
     joined = rows.join(found, rows["fp"] == found["node"])
     best = joined.groupBy("root").agg(F.min(F.struct("k", "_mark1", "_mark2")).alias("best"))
     best = materialize(best.select(F.col("best._mark1").alias("m1"), F.col("best._mark2").alias("m2")).distinct(), "kept")

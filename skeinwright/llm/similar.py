@@ -1,0 +1,142 @@
+"""Near copies by the exact Jaccard similarity of word shingles, for the corpus pipeline.
+
+At a similarity of 0.8 the SimHash fingerprints of five-word shingles differ in some ten of 64 bits, so
+blocks that a wide enough radius leaves have three bits and hold everything. Candidates therefore come from
+MinHash: ``BANDS`` bands of ``ROWS`` minima each, of which two texts of similarity s share one at least with
+the probability 1 - (1 - s^3)^16, all but 1 in 100,000 at 0.8. Texts of the same shingles are one node. In
+each band's group some nodes, the hubs, are compared with all nodes that are not of their component yet, by
+the exact similarity of the texts; then components are found, and groups that still hold several get new
+hubs, four times as many each round, until none holds several or all its nodes were hubs. So no pair that
+shares a band is left out, while a group of near copies costs one comparison a node, not all pairs.
+
+Defined results: null and empty texts, and texts of white space only, have no shingles and are one node;
+texts of fewer words than a shingle have one shingle. Words are told apart as in simhash.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import bound_batches, materialize, once
+from .components import connected_components
+from .simhash import keep_first
+
+SHINGLE, SIMILARITY = 5, 0.8
+BANDS, ROWS, SEED = 16, 3, 42
+STEP = 1 << 12
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The different XXH64 of the shingles, in order."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    line = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
+    if len(words) <= shingle:
+        return np.array([digest(line, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate([[0], ends[:-shingle]]).tolist()
+    ends = (ends[shingle - 1 :] - 1).tolist()
+    return np.unique(np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, ends, strict=True)), np.uint64, len(starts)))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two arrays of different values; two empty ones are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def _bands(hashes: np.ndarray) -> np.ndarray:
+    if not len(hashes):
+        return np.empty(0, np.int64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(hashes), STEP):
+        least = np.minimum(least, (hashes[None, k : k + STEP] * _FACTORS[:, None]).min(axis=1))
+    rows = least.reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], np.uint64).view(np.int64)
+
+
+def _sketches(texts: pa.Array) -> pa.Array:
+    nodes, bands = [], []
+    for text in texts.to_pylist():
+        hashes = shingles(text)
+        nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+        bands.append(_bands(hashes))
+    return pa.StructArray.from_arrays([pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))], ["fp", "bands"])
+
+
+def sketches(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds struct<fp, bands>: the hash of the set of shingles, and the keys of its bands."""
+    bound_batches(df.sparkSession)
+    return df.withColumn(out, once(_sketches, "struct<fp: bigint, bands: array<bigint>>")(df[text].cast("binary")))
+
+
+def _alike(least: float):
+    def run(first: pa.Array, second: pa.Array) -> pa.Array:
+        out, text, own = [], None, None
+        for a, b in zip(first.to_pylist(), second.to_pylist(), strict=True):
+            if own is None or a != text:  # a hub's pairs often lie together
+                text, own = a, shingles(a)
+            out.append(jaccard(own, shingles(b)) >= least)
+        return pa.array(out)
+
+    return run
+
+
+def roots(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(node, root) of each ``fp`` of rows (fp, bands, t) that is linked to another; root is the least in reach."""
+    spark = rows.sparkSession
+    every = materialize(rows.select(F.col("fp").alias("node"), F.explode("bands").alias("band")).distinct(), "bands")
+    many = lambda of, by: of.groupBy(F.col("band").alias("many")).agg(F.min(by).alias("lo"), F.max(by).alias("hi")).filter("lo <> hi").select("many")
+    members = materialize(every.join(many(every, "node"), F.col("band") == F.col("many"), "left_semi").withColumn("root", F.col("node")), "members")
+    needed = members.select(F.col("node").alias("n")).distinct()
+    texts = rows.select("fp", "t").join(needed, F.col("fp") == F.col("n"), "left_semi").groupBy("fp").agg(F.first("t").alias("t"))
+    texts = materialize(texts, "texts")
+    edges = spark.createDataFrame([], "a bigint, b bigint")
+    found, past, width = None, None, 1
+    while True:
+        live = materialize(members.join(many(members, "root"), F.col("band") == F.col("many"), "left_semi"), "live")
+        fresh = live
+        if past is not None:
+            fresh = live.join(past, (F.col("band") == F.col("hb")) & (F.col("node") == F.col("hub")), "left_anti")
+        hubs = fresh.groupBy(F.col("band").alias("hb"), F.pmod(F.xxhash64("node"), F.lit(width)).alias("w"))
+        hubs = materialize(hubs.agg(F.min(F.struct("node", "root")).alias("h")).select("hb", F.col("h.node").alias("hub"), F.col("h.root").alias("hr")), "hubs")
+        if hubs.isEmpty():
+            return found if found is not None else edges.selectExpr("a as node", "b as root")
+        pairs = live.join(hubs, F.col("band") == F.col("hb")).filter("root <> hr")
+        pairs = materialize(pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
+        one = texts.select(F.col("fp").alias("f1"), F.col("t").alias("t1"))
+        two = texts.select(F.col("fp").alias("f2"), F.col("t").alias("t2"))
+        both = pairs.join(one, F.col("b") == F.col("f1")).join(two, F.col("a") == F.col("f2"))
+        bound_batches(spark)
+        linked = both.withColumn("_alike", once(_alike(least), "boolean")(F.col("t1").cast("binary"), F.col("t2").cast("binary")))
+        linked = materialize(linked.filter("_alike").select("a", "b"), "similar")
+        past = hubs.select("hb", "hub") if past is None else past.unionByName(hubs.select("hb", "hub"))
+        if not linked.isEmpty():
+            edges = edges.unionByName(linked)
+            found = materialize(connected_components(edges), "roots")
+            named = found.select(F.col("node").alias("n"), F.col("root").alias("r"))
+            members = live.join(named, F.col("node") == F.col("n"), "left")
+            members = members.select("node", "band", F.coalesce("r", "root").alias("root"))
+        else:
+            members = live
+        width *= 4
+
+
+def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """The rows of ``df``, all columns, without near copies, as in simhash.first_of_each."""
+
+    def find(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = sketches(marked, "t", "s")
+        rows = materialize(rows.select("k", "t", "_mark1", "_mark2", "s.fp", "s.bands"), "sketches")
+        linked = roots(rows, least)
+        found = rows.select("fp").distinct().join(linked, F.col("fp") == F.col("node"), "left")
+        return rows.drop("t", "bands"), materialize(found.select("fp", F.coalesce("root", "fp").alias("root")), "classes")
+
+    return keep_first(df, key, text, find)

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skeinwright.llm import audio, bpe, components, decontam, langid, secretscan, sharding, simhash, surrogates, tokenstore, warc
+from skeinwright.llm import audio, bpe, components, decontam, langid, secretscan, sharding, simhash, similar, surrogates, tokenstore, warc
 from skeinwright.llm.queries import tokenizer_path
 
 KIND = "doc_id bigint, text string, lang string, source string, n_chars bigint, media string, features int, ids int, fp string, leaks int, secrets string, pii int, _es int"
@@ -64,6 +64,44 @@ def test_first_of_each(spark, odd, none):
     assert simhash.first_of_each(none).collect() == []
 
 
+def test_pipeline_drops_all_near_copies(spark, odd, none):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rng = random.Random(5)  # near copies of 0.8 and a little more, beside those of the table
+    made = {}
+    for i, words in enumerate(t.split() for t in texts.values() if t and 200 < len(t.split()) < 400):
+        for at in rng.sample(range(len(words)), len(words) // 55):
+            words[at] = f"changed{at}"
+        made[10**6 + i] = " ".join(words)
+    texts |= made
+    sets = {i: similar.shingles((t or "").encode()) for i, t in texts.items()}
+    owners, top = {}, {i: i for i in texts}
+    for i, s in sets.items():
+        for h in s.tolist():
+            owners.setdefault(h, []).append(i)
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    seen = {(a, b) for many in owners.values() for a in many for b in many if a < b}
+    pairs = [p for p in seen if similar.jaccard(sets[p[0]], sets[p[1]]) >= 0.8]
+    assert sum(b >= 10**6 and a < 10**6 for a, b in pairs) > 20
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        top[b] = a
+    every = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(made.items()), "doc_id long, text string"))
+    blank = sorted(i for i, s in sets.items() if not len(s))
+    want = {find(i) for i in texts} - set(blank[1:])
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, every, "").collect()} == want
+    kept = corpus_pipeline.near_duplicates(spark, odd, "").collect()
+    assert {r.text for r in kept if r.text and r.text.strip()} == {t for t in TEXTS if t and t.strip()}
+    assert corpus_pipeline.near_duplicates(spark, none, "").collect() == []
+
+
 def test_sharding_is_the_same_each_time_and_proportional(spark):
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 40).cast("string"))).alias("source"), F.lit("x").alias("text"))
     first = {r.doc_id: (r.shard, r.slot) for r in sharding.interleave(rows, 7).collect()}
