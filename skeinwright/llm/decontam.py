@@ -236,10 +236,12 @@ def scan(texts: list[bytes | None], blocks) -> list[dict]:
     items: list[set[str]] = [set() for _ in texts]
     for windows in blocks:
         if not total or not windows.least:
+            del windows
             continue
         codes = np.fromiter(map(windows.vocabulary.get, flat, repeat(0)), np.int32, total)
         window, at = occurrences(codes, ends, windows)
         if not len(at):
+            del windows
             continue
         np.add.at(cover, at, 1)
         np.add.at(cover, at + windows.lengths[window], -1)
@@ -252,6 +254,7 @@ def scan(texts: list[bytes | None], blocks) -> list[dict]:
         pairs = np.unique(owner * max(1, len(windows.names)) + windows.items[place])
         for d, i in zip((pairs // max(1, len(windows.names))).tolist(), (pairs % max(1, len(windows.names))).tolist(), strict=True):
             items[d].add(windows.names[i])
+        del windows  # before the next block is read
     hit = np.cumsum(cover[:-1]) > 0
     begins = ends - counts
     summed = np.concatenate([[0], np.cumsum(hit)])
@@ -282,6 +285,17 @@ def _blocks(benchmark: DataFrame, item: str, text: str, size: int, block_bytes:
         yield spark.sparkContext.broadcast(Windows([(r.i, None if r.t is None else bytes(r.t)) for r in part.sort("i", "t").toLocalIterator()], size))
 
 
+def _values(blocks: list):
+    """The value of each broadcast in turn. Of several, each is let go before the next is read: a broadcast
+    keeps its value in the worker, and reads it from the worker's disk again where it has none."""
+    for b in blocks:
+        value = b.value
+        if len(blocks) > 1:
+            del b._value
+        yield value
+        del value
+
+
 def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", out: str = "leaks", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Adds a RESULT struct: counts, items that occur, the merged spans to remove, and for texts with such
     spans the text without them."""
@@ -289,7 +303,7 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", item:
     blocks = list(_blocks(benchmark, item, item_text, size, block_bytes))
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(scan(texts.to_pylist(), (b.value for b in blocks)), _RESULT)
+        return pa.array(scan(texts.to_pylist(), _values(blocks)), _RESULT)
 
     return df.withColumn(out, once(run, RESULT)(F.col(text).cast("binary")))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import unicodedata
+import weakref
 
 import numpy as np
 import pytest
@@ -226,6 +227,25 @@ def test_benchmark_in_blocks(spark, odd, items):
     assert show(whole) == show(parts)
 
 
+def test_blocks_are_let_go(spark):
+    held = [spark.sparkContext.broadcast([i]) for i in range(3)]
+    for _ in range(2):  # each batch reads them again
+        assert [v[0] for v in decontam._values(held)] == [0, 1, 2]
+        assert not any(hasattr(b, "_value") for b in held)
+    assert [v[0] for v in decontam._values(held[:1])] == [0] and hasattr(held[0], "_value")
+    alive = []
+
+    def made():
+        for text in (b"beta gamma", b"", b"not there"):
+            assert not any(w() is not None for w in alive)
+            windows = decontam.Windows([("1", text)], 13)
+            alive.append(weakref.ref(windows))
+            yield windows
+            del windows
+
+    assert decontam.scan([b"alpha beta gamma"], made())[0]["n_hit"] == 2 and len(alive) == 3
+
+
 def test_spans_are_cut_out():
     row = decontam.scan([b"keep Beta, gamma! keep"], [decontam.Windows([("1", b"beta gamma")])])[0]
     assert row["cleaned"] == b"keep ! keep" and row["word_spans"] == [{"start": 1, "end": 3}]
