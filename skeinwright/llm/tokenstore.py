@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import SPACE, byte_letters
+from .bpe import SPACE, Ranges, Unlike, byte_letters, unlike
 from .common import Remembered, bound_batches, fresh_path, materialize
 
 MAGIC = b"SKW8B001"
@@ -242,9 +242,10 @@ def read_file(f) -> Iterator[tuple[object, np.ndarray]]:
 class ByteBPE:
     """The tokenizer library's model of a byte-level file, asked once for each different pre-token."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, ranges: Ranges) -> None:
         from tokenizers import Tokenizer
 
+        self.unlike = Unlike(ranges)
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         with open(path, encoding="utf-8") as f:
@@ -273,7 +274,7 @@ class ByteBPE:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids, as ``library.encode(text, add_special_tokens=False)`` has them."""
-        if any(a in text for a in self.added):
+        if any(a in text for a in self.added) or (not text.isascii() and self.unlike(text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
         parts = text.split(" ")
         if "" in parts or " \n" in text or "\n " in text or (any(c in text for c in RARE_SPACE) and self.uneven.search(text)):
@@ -296,20 +297,20 @@ class ByteBPE:
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> ByteBPE:
-    return ByteBPE(path)
+def load(path: str, ranges: Ranges | None = None) -> ByteBPE:
+    return ByteBPE(path, unlike() if ranges is None else ranges)
 
 
 def _store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else "file:" + uri.removeprefix("file:"))
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int, block: int) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, ranges: Ranges, end_id: int, block: int) -> Iterator[pa.RecordBatch]:
     """Writes this partition's (key, text) rows to one file; yields its line of the manifest."""
     writer, out = None, None
     context = TaskContext.get()
     part = context.partitionId()
-    model = load(tokenizer)
+    model = load(tokenizer, ranges)
     fs, root = _store(folder)
     own = f"{root}/.part-{part:06d}-{context.taskAttemptId()}-{uuid.uuid4().hex}"
     docs = tokens = 0
@@ -338,8 +339,10 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.select(key, text).repartitionByRange(n, key).sortWithinPartitions(key, text)
 
+    ranges = unlike()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _write(batches, folder, tokenizer, end_id, block)
+        return _write(batches, folder, tokenizer, ranges, end_id, block)
 
     manifest = materialize(dealt.mapInArrow(run, "part bigint, docs bigint, tokens bigint, bytes bigint"), "manifest")
     return sorted(map(tuple, manifest.collect()))

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from skeinwright.llm import audio, bpe, components, decontam, langid, secretscan, sharding, simhash, similar, surrogates, tokenstore, warc
+from skeinwright.llm import audio, bpe, components, decontam, langid, secretscan, sharding, simhash, surrogates, tokenstore, warc
 from skeinwright.llm.queries import tokenizer_path
 
 KIND = "doc_id bigint, text string, lang string, source string, n_chars bigint, media string, features int, ids int, fp string, leaks int, secrets string, pii int, _es int"
@@ -77,7 +77,7 @@ def test_pipeline_drops_all_near_copies(spark, odd, none):
             words[at] = f"changed{at}"
         made[10**6 + i] = " ".join(words)
     texts |= made
-    sets = {i: similar.shingles((t or "").encode()) for i, t in texts.items()}
+    sets = {i: simhash.shingles((t or "").encode()) for i, t in texts.items()}
     owners, top = {}, {i: i for i in texts}
     for i, s in sets.items():
         for h in s.tolist():
@@ -89,7 +89,7 @@ def test_pipeline_drops_all_near_copies(spark, odd, none):
         return x
 
     seen = {(a, b) for many in owners.values() for a in many for b in many if a < b}
-    pairs = [p for p in seen if similar.jaccard(sets[p[0]], sets[p[1]]) >= 0.8]
+    pairs = [p for p in seen if simhash.jaccard(sets[p[0]], sets[p[1]]) >= 0.8]
     assert sum(b >= 10**6 and a < 10**6 for a, b in pairs) > 20
     for a, b in pairs:
         a, b = sorted((find(a), find(b)))
@@ -103,6 +103,52 @@ def test_pipeline_drops_all_near_copies(spark, odd, none):
     assert corpus_pipeline.near_duplicates(spark, none, "").collect() == []
 
 
+def test_similar_of_hot_trees_are_whole(spark):
+    """A large group of copies, and one of texts that share a long passage but are mostly under 0.8."""
+    rng = random.Random(3)
+    base, passage, texts = [f"w{i}" for i in range(120)], [f"p{i}" for i in range(90)], []
+    for i in range(90):
+        copy = list(base)
+        for at in rng.sample(range(120), rng.randint(0, 3)):
+            copy[at] = f"x{i}y{at}"
+        texts += [" ".join(copy), " ".join(passage + [f"q{i}z{k}" for k in range(rng.randint(5, 60))])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    sets = [simhash.shingles(t.encode()) for t in texts]
+    top = list(range(len(texts)))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for b in range(len(texts)):
+        for a in range(b):
+            if simhash.jaccard(sets[a], sets[b]) >= 0.8:
+                x, y = sorted((find(a), find(b)))
+                top[y] = x
+    want = {i for i in range(len(texts)) if find(i) == i}
+    assert 5 < len(want) < 120
+    for cap in (2048, 5):
+        assert {r.k for r in simhash.first_of_each(rows, "k", "t", cap=cap).collect()} == want
+    assert {r.k for r in simhash.first_of_each(rows, "k", "t", cap_bytes=4000).collect()} == want
+
+
+def test_tokenizers_on_every_code_point():
+    from tokenizers import Tokenizer
+
+    one, two = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
+    a, b = Tokenizer.from_file(one), Tokenizer.from_file(two)
+    word, byte = bpe.load(one), tokenstore.load(two)
+    every = [chr(c) for c in (*range(0xD800), *range(0xF900, 0x40000), *range(0x40000, 0x110000, 256))]
+    plain = [c for c in every if not word.unlike(c)]  # by themselves, since one odd character sends the text elsewhere
+    assert len(plain) > 150_000
+    for chars in (every, plain):
+        for k in range(0, len(chars), 24):
+            text = "".join(f"a{c}b :{c} 1{c}2\n" for c in chars[k : k + 24])
+            assert word.encode(text) == np.array(a.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), hex(ord(chars[k]))
+            assert byte.encode(text).tolist() == b.encode(text, add_special_tokens=False).ids, hex(ord(chars[k]))
+
+
 def test_sharding_is_the_same_each_time_and_proportional(spark):
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 40).cast("string"))).alias("source"), F.lit("x").alias("text"))
     first = {r.doc_id: (r.shard, r.slot) for r in sharding.interleave(rows, 7).collect()}
