@@ -19,11 +19,13 @@ _written: list[tuple[SparkSession, str]] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is made and used.
+    Only where that is unset and all runs on one machine (tests) a temporary folder is made and used.
     """
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if where:
         return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="skeinwright-")
@@ -37,17 +39,35 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage is cut, and a lost executor
-    costs no recomputation of what lies before it."""
+def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """Write a table to the shared folder and read it back, with its path: lineage is cut, and a lost
+    executor costs no recomputation of what lies before it."""
     spark = df.sparkSession
     path = fresh_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    return written(df, tag)[0]
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """Names for working columns that no column of ``df`` has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    n = 0
+    while any(f"_{s}{n}".lower() in taken for s in stems):
+        n += 1
+    return [f"_{s}{n}" for s in stems]
 
 
 def release(spark: SparkSession, path: str) -> None:
-    """Delete a path of the shared folder, through Spark's file systems."""
+    """Delete a path of the shared folder, through Spark's file systems, once nothing reads it any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
