@@ -1,45 +1,42 @@
 """Surrogates for personal data, with built-in functions only.
 
 Entities (addresses of mail and network, telephone, card, account and social-security numbers, titled
-names) are found by one pattern; in a text with titled names, further mentions of the same name words,
-capital first, are found too and replaced alike. Each is brought to a canonical form (case and punctuation don't tell
-two mentions apart, and a name goes word by word), and gets a replacement that depends on the key, the
-kind and the canonical form alone, so all mentions in all documents stay together. Letters become letters
-of the same script and case (Latin and Cyrillic ones of the same kind, vowel or consonant; others of the
-same code-point block), digits digits, and punctuation stays; country
-codes, top domains, the card's first digit and a name's last letter stay; card and account numbers get
-valid check digits where they had them; known given names become given names of the same gender and
-script. A character's shift depends on the characters before it, so canonical forms of one shape can't
-meet in one surrogate.
-
-What is left is checked over the whole corpus: surrogates of two different entities, or one that equals
-another real entity, are drawn again with the next attempt number until none is left. Where ``ROUNDS``
-attempts are not enough, since a shape has too few forms left, surrogates grow: by 1, 2, 4, up to 64
-letters or digits, each drawn too, and addresses of four numbers move among all of them. Only the entities
-with an attempt number over 0 need more than the expression; they go into the plan in blocks of at most
-``BLOCK`` entries.
-
-Defined results: null texts stay null with no entities; empty texts stay empty; repeated rows and ties
-are alike; an empty table gives no rows. All other columns are kept.
+names) are found by one pattern in one pass; in a text with titled names, further mentions of the same name
+words, capital first, are replaced alike. Each entity is brought to a canonical form (case and punctuation don't
+tell two mentions apart, and a name goes word by word), and its surrogate depends on the key, the kind and the
+canonical form alone, so all mentions in all documents stay together. Letters become letters of the same script
+and case (Latin and Cyrillic ones of the same kind, vowel or consonant; others of the same code-point block),
+digits digits, and punctuation stays; country codes, top domains, the first digit of a card and a name's last
+letter, which tells gender in many languages, stay; card and account numbers get valid check digits where they
+had them; known given names become given names of the same gender and script; a title before a name stays.
+
+Surrogates are distinct by construction, however full a form's space is: each form (the kinds of characters, in
+order) is mapped on itself by a keyed permutation. A character moves within its alphabet by a step that depends on
+its place and the ``WINDOW`` characters before it, so the first character where two entities differ tells their
+surrogates apart, and none equals its own entity; a check digit keeps its distance from the valid one; given names
+turn in a circle, and a name that would become one of them is moved on until it is none. ``pseudonymize`` checks
+it: the replaced table is written with its pairs of entity and surrogate, a grouped aggregate looks for a surrogate
+of two entities, and one would be an error. A surrogate may be another entity's real form, as in every permutation.
+
+Defined results: null texts stay null with no entities; empty texts stay empty; repeated rows and ties are alike; an
+empty table gives no rows; texts and entities of any length take time in proportion to it. All other columns are
+kept, whatever their names; a column of the name ``out`` is replaced, and one word of a single letter moves whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
-import json
 import unicodedata
 from functools import cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_names, quoted, written
 
-BLOCK = 5000
-ROUNDS = 30
-#: The longest growth of a surrogate, and the rounds that may grow one.
-GROWTH, GROWING = 64, 40
+#: The characters before it that a character's step depends on.
+WINDOW = 16
 
 #: Given names by script and gender, titles, and letters (fixed values).
 GIVEN = {
@@ -53,7 +50,7 @@ ALPHABETS = ["0123456789", "aeiouy", "bcdfghjklmnpqrstvwxz", "AEIOUY", "BCDFGHJK
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERN = "|".join([
-    r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
+    r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.\d)",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     r"(?<![\w])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\w])",
@@ -62,6 +59,12 @@ PATTERN = "|".join([
     r"(?<![\w+.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
     rf"(?<![\p{{L}}\p{{N}}])(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+){{0,2}}",
 ])
+#: What a text must have for any entity, by a cheaper search: a mail address an at sign, a number a digit, a name a title.
+TITLED = rf"(?=[{''.join(sorted({t[0] for t in TITLES.split('|')}))}])(?:{TITLES})\.? \p{{Lu}}"
+#: A word that may be a further mention.
+MENTION = r"(?<![\p{L}\p{N}])\p{Lu}\p{L}*+(?:['’-]\p{L}++)*+(?![\p{L}\p{N}])"
+#: Stands between the parts of a text while it is cut.
+MARK = "\x01"
 #: What a name's word may end in besides the name itself.
 _ENDING = r"(?<=\p{L}\p{L})(?:['’][sS]|['’-]+)$"
 KINDS = ("email", "ip", "ssn", "iban", "card", "digits", "phone", "name")
@@ -124,13 +127,14 @@ def _name_words(e: str) -> str:
     return f"transform(filter({words}, (nw, ni) -> ni > 0 or size({words}) = 1), nb -> {_bare('nb')})"
 
 
-def atoms(e: str) -> str:
-    """SQL for the array of struct<kind, canon> of an entity: a name's words, else itself."""
-    kind = kind_of(e)
-    return (
-        f"if(({kind}) = 'name', transform({_name_words(e)}, nw -> named_struct('kind', 'name', 'canon', lower(nw))),"
-        f" array(named_struct('kind', {kind}, 'canon', {_canonical(e, f'({kind})')})))"
-    )
+def _chars(e: str) -> str:
+    """SQL for the characters of a string."""
+    return f"regexp_extract_all({e}, '(?s).', 0)"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with a name for a value that it uses more than once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def _given(key: str) -> dict[str, str]:
@@ -183,145 +187,151 @@ def _other_letter(c: str, k: str) -> str:
     return f"transform(array({own}), lo -> if(lo is null, {far}, substr(lo, 1 + pmod(instr(lo, {c}) + pmod({k}, length(lo) - 1), length(lo)), 1)))[0]"
 
 
-def _growth(attempt: str, rounds: int) -> str:
-    """SQL for the letters that a surrogate grows by: none in the first ``rounds`` attempts."""
-    return f"if({attempt} > {rounds}, cast(least({GROWTH}, pow(2, {attempt} - {rounds + 1})) as int), 0)"
+def _number(key: str, *parts: str) -> str:
+    """SQL for a keyed number of 32 bits."""
+    return f"cast(conv(substr(sha2(concat_ws('|', {_q(key)}, {', '.join(parts)}), 256), 1, 8), 16, 10) as bigint)"
 
 
-def _grown(kind: str, canon: str, attempt: str, rounds: int) -> str:
-    """SQL for the canonical form with places for more letters in front, or for more digits behind."""
-    more = _growth(attempt, rounds)
-    first = f"if({canon} rlike '^[\\\\p{{L}}\\\\p{{N}}]', left({canon}, 1), 'b')"
-    return f"if({attempt} <= {rounds}, {canon}, if({kind} in ('name', 'email'), concat(repeat({first}, {more}), {canon}), concat({canon}, repeat('0', {more}))))"
-
-
-def _shifted(kind: str, canon: str, attempt: str, key: str) -> str:
-    """SQL for the keyed substitution of a canonical form, in place."""
-    keyed = f"conv(substr(sha2(concat_ws('|', {_q(key)}, {kind}, {attempt}, substr({canon}, 1, ci - 1)), 256), 1, 8), 16, 10)"
+def _shifted(kind: str, canon: str, key: str) -> str:
+    """SQL for the keyed permutation of a canonical form, in place; numbers of 13 to 19 digits have one."""
+    same = f"if({kind} = 'digits', 'card', {kind})"
+    keyed = _number(key, same, "ci", f"array_join(slice(cz.c, greatest(1, ci - {WINDOW - 1}), least(ci, {WINDOW})), '')")
     keep = (
-        f"({kind} = 'card' and (ci = 1 or ci = length({canon}))) or ({kind} = 'iban' and ci <= 4)"
-        f" or ({kind} = 'name' and ci = length({canon})) or ({kind} = 'email' and ci > length({canon}) - length(substring_index({canon}, '.', -1)))"
+        "case cz.k when 'card' then ci = 0 or ci = size(cz.c) - 1 when 'iban' then ci < 4 when 'name' then ci = size(cz.c) - 1 and ci > 1"
+        " when 'email' then ci >= size(cz.c) - cz.tail else false end"
     )
-    cells = f"transform(sequence(1, length({canon})), ci -> named_struct('c', substr({canon}, ci, 1), 'k', cast({keyed} as bigint), 'keep', {keep}, 'lead', {kind} = 'phone' and ci = 1))"
-    cases = [f"when cx.keep then cx.c when cx.lead and instr('23456789', cx.c) > 0 then substr('23456789', 1 + pmod(instr('23456789', cx.c) + pmod(cx.k, 7), 8), 1)"]
+    cells = f"transform(cz.c, (cc, ci) -> named_struct('c', cc, 'k', {keyed}, 'keep', {keep}, 'lead', cz.k = 'phone' and ci = 0))"
+    cases = ["when cx.keep or (cx.lead and cx.c < '2') then cx.c when cx.lead then substr('23456789', 1 + pmod(instr('23456789', cx.c) + pmod(cx.k, 7), 8), 1)"]
     for letters in ALPHABETS:
         at = f"instr({_q(letters)}, cx.c)"
         cases.append(f"when {at} > 0 then substr({_q(letters)}, 1 + pmod({at} + pmod(cx.k, {len(letters) - 1}), {len(letters)}), 1)")
     cases.append(f"when cx.c rlike '[\\\\p{{L}}\\\\p{{N}}]' then {_other_letter('cx.c', 'cx.k')}")
-    return f"array_join(transform({cells}, cx -> case {' '.join(cases)} else cx.c end), '')"
+    tail = f"length(substring_index({canon}, '.', -1))"
+    return _let("cz", f"named_struct('c', {_chars(canon)}, 'k', {same}, 'tail', {tail})", f"array_join(transform({cells}, cx -> case {' '.join(cases)} else cx.c end), '')")
 
 
-def _octets(canon: str, attempt: str, key: str, rounds: int) -> str:
-    """SQL for an address of four numbers: each moves within the numbers of as many digits, and after
-    ``rounds`` attempts within all."""
-    keyed = f"cast(conv(substr(sha2(concat_ws('|', {_q(key)}, 'ip', {attempt}, array_join(slice(split({canon}, '[.]'), 1, oi), '.')), 256), 1, 8), 16, 10) as bigint)"
-    cells = f"transform(split({canon}, '[.]'), (ov, oi) -> named_struct('v', cast(ov as int), 'k', {keyed}))"
+def _octets(canon: str, key: str) -> str:
+    """SQL for an address of four numbers: each moves within the numbers of as many digits."""
+    cells = f"transform(split({canon}, '[.]'), (ov, oi) -> named_struct('v', cast(ov as int), 'k', {_number(key, _q('ip'), f"array_join(slice(split({canon}, '[.]'), 1, oi), '.')")}))"
     move = lambda low, n: f"{low} + pmod(ox.v - {low} + 1 + pmod(ox.k, {n - 1}), {n})"
-    moved = f"case when {attempt} > {rounds} then {move(0, 256)} when ox.v < 10 then {move(0, 10)} when ox.v < 100 then {move(10, 90)} else {move(100, 156)} end"
-    return f"array_join(transform({cells}, ox -> cast({moved} as string)), '.')"
-
-
-def surrogate(kind: str, canon: str, attempt: str, key: str, rounds: int = ROUNDS) -> str:
-    """SQL for the surrogate of a canonical form, canonical itself."""
-    plain = f"transform(array({_grown(kind, canon, attempt, rounds)}), gc -> {_shifted(kind, 'gc', attempt, key)})[0]"
-    card = f"concat(left(sv, length(sv) - 1), {_luhn('sv', 'length(sv)')})"
-    rest = "substr(sv, 5)"
-    turned = f"concat({rest}, left(sv, 2), '00')"
-    check = f"lpad(cast(98 - {_mod97(turned)} as string), 2, '0')"
-    iban = f"concat(left(sv, 2), {check}, {rest})"
+    return f"array_join(transform({cells}, ox -> cast(case when ox.v < 10 then {move(0, 10)} when ox.v < 100 then {move(10, 90)} else {move(100, 156)} end as string)), '.')"
+
+
+def name_surrogate(canon: str, key: str) -> str:
+    """SQL for a name word's surrogate: its place in the circle of its given names, or the permutation, moved on
+    while it meets one of them. A cycle leaves the given names after as many steps as there are, at the latest."""
     given = _given(key)
     names = f"map({', '.join(f'{_q(k)}, {_q(v)}' for k, v in given.items())})"
-    drawn = f"transform(array({plain}), sv -> case when {kind} = 'card' then {card} when {kind} = 'iban' then {iban} else sv end)[0]"
+    known = f"array({', '.join(map(_q, given))})"
+    on = f"aggregate(sequence(1, {len(given)}), wf, (wa, wi) -> if(array_contains({known}, wa), {_shifted(_q('name'), 'wa', key)}, wa))"
+    walked = _let("wf", _shifted(_q("name"), canon, key), f"if(array_contains({known}, wf), {on}, wf)")
+    return f"coalesce(element_at({names}, {canon}), {walked})"
+
+
+def surrogate(kind: str, canon: str, key: str) -> str:
+    """SQL for the surrogate of a canonical form other than a name's word, canonical itself."""
+    check = f"pmod(cast(right({canon}, 1) as int) - cast({_luhn(canon, f'length({canon})')} as int) + cast({_luhn('sv', 'length(sv)')} as int), 10)"
+    card = f"concat(left(sv, length(sv) - 1), cast({check} as string))"
+    valid = lambda e: f"(98 - {_mod97(f'concat(substr({e}, 5), left({e}, 2), {_q('00')})')})"
+    two = f"pmod(cast(substr({canon}, 3, 2) as int) - {valid(canon)} + {valid('sv')}, 100)"
+    iban = f"concat(left(sv, 2), lpad(cast({two} as string), 2, '0'), substr(sv, 5))"
+    drawn = f"case when {kind} in ('card', 'digits') then {card} when {kind} = 'iban' then {iban} else sv end"
+    return f"case when {kind} = 'ip' then {_octets(canon, key)} else {_let('sv', _shifted(kind, canon, key), drawn)} end"
+
+
+def _cased(e: str, s: str) -> str:
+    """SQL for a surrogate in the case of a mention."""
     return (
-        f"case when {kind} = 'ip' then {_octets(canon, attempt, key, rounds)}"
-        f" when {kind} = 'name' and {attempt} = 0 then coalesce(element_at({names}, {canon}), {drawn}) else {drawn} end"
+        f"case when length({e}) = length({s}) then array_join(zip_with({_chars(e)}, {_chars(s)}, (de, ds) -> if(lower(de) <> de, upper(ds), ds)), '')"
+        f" when lower({e}) = {e} then {s} when upper({e}) = {e} then upper({s}) else concat(upper(left({s}, 1)), substr({s}, 2)) end"
     )
 
 
 def _dressed(e: str, s: str, kind: str) -> str:
     """SQL for a canonical surrogate in the form of the mention: its punctuation and its case."""
     digit = f"substr({e}, di, 1) rlike '[0-9]'"
-    size = f"if({kind} = 'phone', least(10, length({_digits(e)})), length({_digits(e)}))"
-    blanks = f"length(replace({e}, ' ', ''))"
-    past = lambda n: f"substr({s}, {n} + 1)"  # noqa: E731  what a surrogate has grown by
-    place = f"length({_digits(f'substr({e}, 1, di)')}) - (length({_digits(e)}) - {size})"
+    place = f"length({_digits(f'substr({e}, 1, di)')}) - (length({_digits(e)}) - length({s}))"
     numbers = f"array_join(transform(sequence(1, length({e})), di -> if({digit} and {place} > 0, substr({s}, {place}, 1), substr({e}, di, 1))), '')"
     blank = f"length(replace(substr({e}, 1, di), ' ', ''))"
     spaced = f"array_join(transform(sequence(1, length({e})), di -> if(substr({e}, di, 1) = ' ', ' ', substr({s}, {blank}, 1))), '')"
-    cased = (
-        f"case when length({e}) = length({s}) then array_join(transform(sequence(1, length({e})), di -> if(lower(substr({e}, di, 1)) <> substr({e}, di, 1), upper(substr({s}, di, 1)), substr({s}, di, 1))), '')"
-        f" when lower({e}) = {e} then {s} when upper({e}) = {e} then upper({s}) else concat(upper(left({s}, 1)), substr({s}, 2)) end"
+    return f"case {kind} when 'email' then {_cased(e, s)} when 'ip' then {s} when 'iban' then {spaced} else {numbers} end"
+
+
+def _parts(e: str, pattern: str) -> str:
+    """SQL for a text's parts: those at odd places (from 0) match the pattern."""
+    fast = f"split(regexp_replace({e}, {_q(pattern)}, '{MARK}$0{MARK}'), '{MARK}', -1)"
+    slow = f"zip_with(split({e}, {_q(pattern)}, -1), concat(regexp_extract_all({e}, {_q(pattern)}, 0), array(null)), (pg, pm) -> array(pg, pm))"
+    return f"if(instr({e}, '{MARK}') = 0, {fast}, filter(flatten({slow}), pn -> pn is not null))"
+
+
+ATOM = "struct<kind:string,canon:string,surr:string>"
+
+
+def _word(w: str, key: str) -> str:
+    """SQL for the struct<w, a> of a name's word: what it becomes, and its atom."""
+    made = f"named_struct('w', concat({_cased('wb', 'vs')}, substr({w}, length(wb) + 1)), 'a', array(named_struct('kind', 'name', 'canon', lower(wb), 'surr', vs)))"
+    return _let("wb", _bare(w), _let("vs", name_surrogate("lower(wb)", key), made))
+
+
+def _pieces(key: str, parts: str, names: str) -> str:
+    """SQL for the array of struct<s, k, a> of a text's parts: the new text, the kinds and the atoms in it."""
+    nothing = f"cast(array() as array<{ATOM}>)"
+    same = lambda w: f"named_struct('w', {w}, 'a', {nothing})"
+    # a title stays, unless it is a word of a name too, as in 'Mr. Don Juan'
+    title = f"wi = 0 and instr(pe, ' ') > 0 and not array_contains({names}, lower(wd))"
+    words = f"transform(split(pe, ' '), (wd, wi) -> if({title}, {same('wd')}, {_word('wd', key)}))"
+    name = _let("ws", words, "named_struct('s', array_join(transform(ws, wx -> wx.w), ' '), 'k', array('name'), 'a', flatten(transform(ws, wx -> wx.a)))")
+    other = _let(
+        "va", f"named_struct('kind', ek, 'canon', {_canonical('pe', 'ek')})",
+        _let("vs", surrogate("va.kind", "va.canon", key), f"named_struct('s', {_dressed('pe', 'vs', 'va.kind')}, 'k', array(va.kind), 'a', array(named_struct('kind', va.kind, 'canon', va.canon, 'surr', vs)))"),
     )
-    return f"case when {kind} in ('email', 'name') then {cased} when {kind} = 'ip' then {s} when {kind} = 'iban' then concat({spaced}, {past(blanks)}) else concat({numbers}, {past(size)}) end"
-
-
-def _with_entities(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``_names``, the words of a text's titled names, ``_pattern``, which finds further mentions of them
-    besides the rest, and ``_es``, all entities."""
-    titled = df.withColumn("_es", F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)))
-    words = F.expr(f"array_distinct(flatten(transform(filter(_es, ef -> ({kind_of('ef')}) = 'name'), et -> {_name_words('et')})))")
-    titled = titled.withColumn("_names", F.coalesce(words, F.array().cast("array<string>")))
-    longest = "array_sort(_names, (nl, nr) -> case when length(nl) > length(nr) then -1 when length(nl) < length(nr) then 1 when nl < nr then -1 when nl > nr then 1 else 0 end)"
-    again = F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?=\p{Lu})(?iu:"), F.array_join(F.expr(longest), "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    found = titled.withColumn("_pattern", F.when(F.size("_names") > 0, again).otherwise(F.lit(PATTERN)))
-    more = F.regexp_extract_all(F.col(text), F.col("_pattern"), F.lit(0))
-    return found.withColumn("_es", F.when(F.size("_names") > 0, more).otherwise(F.col("_es")))
-
-
-def assignments(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, canon, attempt, surr) of each different atom: no two share a surrogate, and none is real."""
-    draw = F.expr(surrogate("kind", "canon", "attempt", key, rounds))
-    real = materialize(entities.distinct(), "entities")
-    state = materialize(real.withColumn("attempt", F.lit(0)).withColumn("surr", draw), "surrogates")
-    for _ in range(rounds + GROWING):
-        claims = state.groupBy("surr").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("attempt", "kind", "canon")).alias("owner"))
-        claims = claims.filter("n > 1").select(F.col("surr").alias("s"), "owner")
-        shared = state.join(claims, state["surr"] == claims["s"]).filter(F.struct("attempt", "kind", "canon") != F.col("owner")).select("kind", "canon")
-        taken = real.select(F.col("kind").alias("k"), F.col("canon").alias("c"))
-        # a given name may take the place of another: its list is a closed circle
-        known = state["kind"].eqNullSafe("name") & state["canon"].isin(list(_given(key)))
-        meets = state.filter(~(known & (F.col("attempt") == 0))).join(taken, (F.col("kind") == F.col("k")) & (F.col("surr") == F.col("c")))
-        bad = materialize(shared.unionByName(meets.select("kind", "canon")).distinct(), "clashes")
-        if bad.isEmpty():
-            return state
-        bad = bad.withColumnsRenamed({"kind": "k", "canon": "c"})
-        again = state.join(bad, (F.col("kind") == F.col("k")) & (F.col("canon") == F.col("c")), "left")
-        again = again.withColumn("attempt", F.col("attempt") + F.col("k").isNotNull().cast("int"))
-        state = materialize(again.select("kind", "canon", "attempt", F.when(F.col("k").isNull(), F.col("surr")).otherwise(draw).alias("surr")), "surrogates")
-    raise RuntimeError("surrogates of 64 more characters still clash")
-
-
-def _attempts(state: DataFrame) -> str:
-    """SQL for the attempt number of (va.kind, va.canon): literal maps of BLOCK entries, usually none."""
-    late = state.filter("attempt > 0")
-    count = late.count()
-    parts = ["0"]
-    blocks = -(-2 * count // BLOCK) if count > BLOCK else min(1, count)
-    for b in range(blocks):
-        rows = late.filter(F.pmod(F.xxhash64("kind", "canon"), F.lit(blocks)) == b).collect()
-        held = json.dumps({f"{r.kind}|{r.canon}": r.attempt for r in rows})
-        parts.append(f"coalesce(element_at(from_json({_q(held)}, 'map<string,int>'), concat(va.kind, '|', va.canon)), 0)")
-    return " + ".join(parts)
+    entity = _let("ek", kind_of("pe"), f"if(ek = 'name', {name}, {other})")
+    known = f"array_contains({names}, lower({_bare('mw')}))"
+    halves = f"transform(split(mw, {_q("(?<=['’-])|(?=['’-])")}), mh -> if(array_contains({names}, lower(mh)) and mh rlike {_q(r'^\p{Lu}')}, {_word('mh', key)}, {same('mh')}))"
+    joined = _let("mj", halves, "named_struct('w', array_join(transform(mj, mx -> mx.w), ''), 'a', flatten(transform(mj, mx -> mx.a)))")
+    mention = f"case when mi % 2 = 0 then {same('mw')} when {known} then {_word('mw', key)} when mw rlike {_q("['’-]")} then {joined} else {same('mw')} end"
+    mentions = _let(
+        "ms", f"transform({_parts('pe', MENTION)}, (mw, mi) -> {mention})",
+        _let("ma", "flatten(transform(ms, mx -> mx.a))", "named_struct('s', array_join(transform(ms, mx -> mx.w), ''), 'k', transform(ma, mx -> mx.kind), 'a', ma)"),
+    )
+    gap = f"if(size({names}) > 0, {mentions}, named_struct('s', pe, 'k', cast(array() as array<string>), 'a', {nothing}))"
+    return f"transform({parts}, (pe, pi) -> if(pi % 2 = 1, {entity}, {gap}))"
+
+
+def replaced(df: DataFrame, key: str, text: str = "text", out: str = "pii", atoms: str | None = None) -> DataFrame:
+    """Replaces the personal data in ``text``; adds array<string> ``out`` with the kind of each entity and, where
+    it is named, ``atoms`` with the (kind, canon, surr) of each."""
+    parts, names, pieces = free_names(df, "parts", "names", "pieces")
+    t = quoted(text)
+    may = f"contains({t}, '@') or {t} rlike '[0-9]' or {t} rlike {_q(TITLED)}"
+    found = df.withColumn(parts, F.expr(f"if({may}, {_parts(t, PATTERN)}, array({t}))"))
+    titled = f"filter({parts}, (fe, fi) -> fi % 2 = 1 and ({kind_of('fe')}) = 'name')"
+    words = f"array_distinct(flatten(transform({titled}, et -> transform({_name_words('et')}, ew -> lower(ew)))))"
+    found = found.withColumn(names, F.expr(f"if(size({parts}) > 1, {words}, cast(array() as array<string>))"))
+    found = found.withColumn(pieces, F.expr(f"if(size({parts}) > 1, {_pieces(key, parts, names)}, null)"))
+    new = {
+        text: F.expr(f"if({pieces} is null, {t}, array_join(transform({pieces}, px -> px.s), ''))"),
+        out: F.expr(f"coalesce(flatten(transform({pieces}, px -> px.k)), cast(array() as array<string>))"),
+    }
+    if atoms:
+        new[atoms] = F.expr(f"coalesce(flatten(transform({pieces}, px -> px.a)), cast(array() as array<{ATOM}>))")
+    kept = [c for c in df.columns if c not in new]
+    order = [c for c in df.columns if c not in (out, atoms)] + [c for c in (out, atoms) if c]
+    return found.select(*[F.col(quoted(c)) if c in kept else new[c].alias(c) for c in order])
+
+
+def clashes(atoms: DataFrame) -> DataFrame:
+    """(kind, surr, one, other) of surrogates that rows (kind, canon, surr) give two entities: none, unless the
+    permutations are broken. Numbers of cards and of 13 to 19 digits are of one kind here."""
+    scope = F.when(F.col("kind") == "digits", "card").otherwise(F.col("kind")).alias("kind")
+    return atoms.groupBy(scope, "surr").agg(F.min("canon").alias("one"), F.max("canon").alias("other")).filter("one <> other")
 
 
 def pseudonymize(df: DataFrame, key: str, text: str = "text", out: str = "pii") -> DataFrame:
-    """Replaces the personal data in ``text``; adds array<string> ``out`` with the kind of each entity."""
-    found = _with_entities(df.select(F.col(text).alias("t")), "t").select(F.col("_es").alias("es")).filter("size(es) > 0")
-    state = assignments(found.selectExpr(f"explode(flatten(transform(es, ae -> {atoms('ae')}))) as a").select("a.*"), key)
-    attempt = _attempts(state)
-    one = lambda e, kind, canon: (
-        f"transform(array(named_struct('kind', {kind}, 'canon', {canon})), va -> "
-        f"transform(array({surrogate('va.kind', 'va.canon', f'({attempt})', key)}), vs -> {_dressed(e, 'vs', 'va.kind')})[0])[0]"
-    )
-    kind = kind_of("en")
-    # a title stays, unless it is a word of a name too, as in 'Mr. Don Juan'
-    title = "wi = 0 and instr(en, ' ') > 0 and not exists(_names, tn -> lower(tn) = lower(wd))"
-    bare = f"transform(array({_bare('wd')}), wb -> concat({one('wb', _q('name'), 'lower(wb)')}, substr(wd, length(wb) + 1)))[0]"
-    name = f"array_join(transform(split(en, ' '), (wd, wi) -> if({title}, wd, {bare})), ' ')"
-    replaced = f"transform(_es, en -> if(({kind}) = 'name', {name}, {one('en', f'({kind})', _canonical('en', f'({kind})'))}))"
-    with_es = _with_entities(df, text)
-    new = F.expr(replaced)
-    gaps = F.split(F.col(text), F.col("_pattern"), -1)
-    joined = F.array_join(F.flatten(F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda g, s: F.array(g, s))), "")
-    kinds = F.coalesce(F.expr(f"transform(_es, ek -> {kind_of('ek')})"), F.array().cast("array<string>"))
-    return with_es.withColumn(out, kinds).withColumn(text, F.when(F.size("_es") > 0, joined).otherwise(F.col(text))).select(*df.columns, out)
+    """``replaced``, written and read back, after the check that no two entities share a surrogate."""
+    (atoms,) = free_names(df, "atoms")
+    made, _ = written(replaced(df, key, text, out, atoms), "surrogates")
+    found = clashes(made.select(F.explode(atoms).alias("a")).select("a.*")).head(1)
+    if found:
+        raise ValueError(f"two entities of kind {found[0].kind} share a surrogate")
+    return made.drop(atoms)
