@@ -1,22 +1,27 @@
 """Language identification by Bayesian fusion of evidence.
 
 Text likelihoods come from a naive Bayes model over hashed byte trigrams, trained here on a bounded,
-documented sample of labelled rows (``FIT_ROWS``; every other count covers all rows). They are fused with
+documented sample of labelled rows (about ``FIT_ROWS``, in equal parts of every language that any row has; every
+other count covers all rows). They are fused with
 the declared markup language, the address suffix, and a prior of the host, smoothed towards its parent
 domain, that towards its suffix, and that towards all rows; the prior's counts are a grouped aggregation
 of every row's text-only posterior. The sum is
 
     log P(l | host) + text(l) + log P(declared | l) + log P(suffix | l)
 
-where text(l) is the mean trigram log-likelihood times the number of trigrams, at most ``EVIDENCE``
-(trigrams of a text depend on each other). A text is rejected if it has no letters, if a uniform model of
+where text(l) is the mean log-likelihood of all the text's trigrams times their number, or times ``evidence`` where
+there are more: trigrams of a text depend on each other, so a long text weighs no more than that many independent
+ones, and the other evidence keeps a say (infinity: none but the text counts in long ones). In each sum a host counts
+at the levels that are its own: one of two labels is its domain, one without dots has neither domain nor suffix.
+Texts are scored once: the scores are written with the rows, from which priors and fusion are read. A text is rejected if it has no letters, if a uniform model of
 unknown text with its small prior beats the whole sum of every language, or if the best language's
 posterior is under ``ACCEPT``.
 
 Defined results: a null text, or one without letters, has language ``und`` and is rejected; null or
 unknown declarations, addresses and hosts are no evidence. A tie goes to the language first in order.
 An empty table gives no rows; a sample without labels gives a model without languages, with which all
-rows are ``und``. Columns added are ``language``, ``confidence`` and ``accepted``, in one struct.
+rows are ``und``. Columns added are ``language``, ``confidence`` and ``accepted``, in one struct; a column of its
+name is replaced, and all others are kept.
 """
 
 from __future__ import annotations
@@ -30,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, once
+from .common import bound_batches, free_names, materialize, once, quoted, written
+from .warc import extract_text
 
 FIT_ROWS = 4000
 BUCKETS = 1 << 15
@@ -62,27 +68,33 @@ class Model:
     languages: list[str]
     #: log P(trigram | language), BUCKETS x languages
     table: np.ndarray
+    #: The most trigrams that count as independent.
+    evidence: float = EVIDENCE
 
     def score(self, text: bytes | None) -> list[float] | None:
         """Tempered log-likelihood of each language and, last, of unknown text; None without letters."""
         grams = trigrams(text)
         if not len(grams):
             return None
-        weight = min(EVIDENCE, len(grams)) / len(grams)
+        weight = min(self.evidence, len(grams)) / len(grams)
         sums = np.zeros(len(self.languages), np.float64)
         for k in range(0, len(grams), 1 << 16):
             sums += self.table[grams[k : k + (1 << 16)]].sum(axis=0, dtype=np.float64)
         return [*(round(float(x), 6) for x in sums * weight), UNKNOWN * len(grams) * weight]
 
 
-def fit(df: DataFrame, text: str, label: str, key: str, rows: int = FIT_ROWS) -> Model:
-    """The model of the labelled rows whose hashed key is among the ``rows`` least."""
+def fit(df: DataFrame, text: str, label: str, key: str, rows: int = FIT_ROWS, evidence: float = EVIDENCE) -> Model:
+    """The model of a sample of the labelled rows: of each of n languages those of a hashed key under a bound that
+    leaves ``rows`` / n of them, in expectation, or all of them where it has fewer."""
     bound_batches(df.sparkSession)
-    labelled = df.filter(F.col(label).isNotNull()).withColumn("_h", F.xxhash64(F.lit("fit"), key))
-    bound = labelled.select("_h").sort("_h").limit(rows).agg(F.max("_h")).head()[0]
-    if bound is None:
-        return Model([], np.zeros((BUCKETS, 0), np.float32))
-    sample = labelled.filter(F.col("_h") <= bound).select(F.lower(label).alias("l"), F.col(text).cast("binary").alias("t"))
+    columns = [F.lower(quoted(label)).alias("l"), F.col(quoted(text)).cast("binary").alias("t"), F.xxhash64(F.lit("fit"), quoted(key)).alias("h")]
+    labelled = df.select(*columns).filter("l is not null")
+    counts = {r.l: r.n for r in labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
+    if not counts:
+        return Model([], np.zeros((BUCKETS, 0), np.float32), evidence)
+    share = rows / len(counts)
+    rates = F.create_map(*[F.lit(x) for l, n in sorted(counts.items()) for x in (l, min(1.0, share / n))])
+    sample = labelled.filter(F.col("h") / F.lit(2.0**64) + 0.5 <= rates[F.col("l")]).select("l", "t")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -97,11 +109,13 @@ def fit(df: DataFrame, text: str, label: str, key: str, rows: int = FIT_ROWS) ->
     found: dict[str, np.ndarray] = {}
     for r in counted.collect():  # BUCKETS rows a language at most
         found.setdefault(r.l, np.zeros(BUCKETS))[r.g] = r.n
-    languages = sorted(found)
+    languages = sorted(counts)
     table = np.zeros((BUCKETS, len(languages)), np.float32)
     for i, lang in enumerate(languages):
+        if lang not in found:
+            found[lang] = np.zeros(BUCKETS)
         table[:, i] = np.log((found[lang] + 0.1) / (found[lang].sum() + 0.1 * BUCKETS))
-    return Model(languages, table)
+    return Model(languages, table, evidence)
 
 
 def host_of(address: Column) -> Column:
@@ -111,8 +125,14 @@ def host_of(address: Column) -> Column:
 
 
 def _levels(host: Column) -> list[Column]:
-    """Host, its last two labels, its last label."""
-    return [F.concat(F.lit("h:"), host), F.concat(F.lit("d:"), F.substring_index(host, ".", -2)), F.concat(F.lit("s:"), F.substring_index(host, ".", -1))]
+    """Its domain, the last two labels, and its suffix, the last one; null for hosts without dots."""
+    return [F.when(host.contains("."), F.substring_index(host, ".", -n)) for n in (2, 1)]
+
+
+def declared_markup(page: Column) -> Column:
+    """The language that a page's html element declares."""
+    said = F.regexp_extract(page, r"(?i)<html\b[^>]{0,2000}?\blang\s{0,9}=\s{0,9}[\"']?([A-Za-z]{1,8}(?:[-_][A-Za-z0-9]{1,8}){0,8})", 1)
+    return F.when(said != "", said)
 
 
 def _softmax(scores: Column) -> Column:
@@ -149,7 +169,7 @@ def host_priors(scored: DataFrame, host: str, scores: str, languages: list[str])
     total = own.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0.0)).alias(f"n{i}") for i in range(n)]).head()
     whole = sum(total)
     everywhere = [(x + 1) / (whole + n) for x in total]
-    keyed = own.select("*", levels[1].alias("domain"), levels[2].alias("suffix"))
+    keyed = own.select("*", levels[0].alias("domain"), levels[1].alias("suffix"))
 
     def rolled(by: str) -> DataFrame:
         sums = keyed.filter(f"{by} is not null").groupBy(F.col(by).alias(f"{by}_key"))
@@ -163,11 +183,26 @@ def host_priors(scored: DataFrame, host: str, scores: str, languages: list[str])
         up = rolled(by)
         keyed = keyed.join(up, keyed[by] == up[f"{by}_key"], "left").drop(f"{by}_key")
     cols = lambda p: [F.coalesce(F.col(f"{p}{i}"), F.lit(0.0)) for i in range(n)]
-    prior = blend(cols("n"), blend(cols("domain"), blend(cols("suffix"), [F.lit(x) for x in everywhere])))
+    # a host that is its own domain has no level below it
+    own_n = [F.when(F.col("host").eqNullSafe(F.col("domain")), 0.0).otherwise(c) for c in cols("n")]
+    prior = blend(own_n, blend(cols("domain"), blend(cols("suffix"), [F.lit(x) for x in everywhere])))
     prior = [F.when(F.col("host").isNull(), F.lit(e)).otherwise(p) for p, e in zip(prior, everywhere, strict=True)]
     return materialize(keyed.select("host", F.array(*[F.round(F.log(p), 6) for p in prior]).alias("prior")), "priors")
 
 
+def score(df: DataFrame, model: Model, text: str, out: str, markup: bool = False) -> DataFrame:
+    """Adds the tempered log-likelihoods of each text; of a page, with ``markup``, of its visible text."""
+    bound_batches(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages numbers
+
+    def run(texts: pa.Array) -> pa.Array:
+        own = shared.value
+        shown = (extract_text(t.decode("utf-8", "replace")).encode() if markup and t else t for t in texts.to_pylist())
+        return pa.array([own.score(t) for t in shown], pa.list_(pa.float64()))
+
+    return df.withColumn(out, once(run, "array<double>")(F.col(quoted(text)).cast("binary")))
+
+
 def identify(
     df: DataFrame,
     model: Model,
@@ -176,46 +211,51 @@ def identify(
     address: str | None = None,
     host: str | None = None,
     out: str = "lid",
+    markup: bool = False,
+    keep_text: bool = True,
 ) -> DataFrame:
     """Adds struct<language, confidence, accepted>. ``host`` names a column with a host or source; where
-    it is None, hosts are taken from ``address``."""
-    spark, languages = df.sparkSession, model.languages
+    it is None, hosts are taken from ``address``. With ``markup`` texts are pages, and where ``declared`` is None
+    the language is the one that they declare. Without ``keep_text`` the text column is left out."""
+    languages = model.languages
     n = len(languages)
+    names = [c for c in df.columns if c != out and (keep_text or c != text)]
     if not n:
-        return df.withColumn(out, F.struct(F.lit("und").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted")))
-    bound_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
-
-    def run(texts: pa.Array) -> pa.Array:
-        own = shared.value
-        return pa.array([own.score(t) for t in texts.to_pylist()], pa.list_(pa.float64()))
-
-    score = once(run, "array<double>")(F.col(text).cast("binary"))
-    where = F.lower(F.col(host)) if host else host_of(F.col(address)) if address else F.lit(None).cast("string")
-    priors = host_priors(df.select(where.alias("_host"), score.alias("_ll")), "_host", "_ll", languages)
+        none = F.struct(F.lit("und").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
+        return df.select(*map(quoted, names), none.alias(out))
+    where, ll, said, tail, prior, at, fused, post = free_names(df, "where", "ll", "said", "tail", "prior", "at", "fused", "post")
+    nothing = F.lit(None).cast("string")
+    url = host_of(F.col(quoted(address))) if address else nothing
+    told = F.col(quoted(declared)) if declared else declared_markup(F.col(quoted(text))) if markup else nothing
+    made = score(df, model, text, ll, markup).select(
+        *map(quoted, names),
+        ll,
+        (F.lower(quoted(host)) if host else url).alias(where),
+        F.lower(F.substring_index(F.regexp_replace(F.trim(told), "_", "-"), "-", 1)).alias(said),
+        F.when(url.contains("."), F.substring_index(url, ".", -1)).alias(tail),
+    )
+    both, _ = written(made, "scores")
+    priors = host_priors(both.select(where, ll), where, ll, languages).select(F.col("host").alias(at), F.col("prior").alias(prior))
     if priors.count() <= BROADCAST_ROWS:  # else the rows are joined by shuffle
         priors = F.broadcast(priors)
-    both = df.withColumn("_host", where).withColumn("_ll", score)
-    both = both.join(priors, both["_host"].eqNullSafe(priors["host"]), "left").drop(priors["host"])
+    both = both.join(priors, F.col(where).eqNullSafe(F.col(at)), "left")
     none = F.array(*[F.lit(-math.log(n))] * n)
-    said = F.lower(F.substring_index(F.regexp_replace(F.trim(F.col(declared)), "_", "-"), "-", 1)) if declared else F.lit(None).cast("string")
-    suffix = F.substring_index(host_of(F.col(address)) if address else F.lit(None).cast("string"), ".", -1)
-    by_suffix = F.create_map(*[F.lit(x) for kv in SUFFIXES.items() for x in kv])[suffix]
-    fused = _add(
-        F.coalesce(F.col("prior"), none),
-        F.slice("_ll", 1, n),
-        _vote(said, languages, DECLARED_TRUST),
+    by_suffix = F.create_map(*[F.lit(x) for kv in SUFFIXES.items() for x in kv])[F.col(tail)]
+    total = _add(
+        F.coalesce(F.col(prior), none),
+        F.slice(ll, 1, n),
+        _vote(F.col(said), languages, DECLARED_TRUST),
         _vote(by_suffix, languages, SUFFIX_TRUST),
     )
-    both = both.withColumn("_fused", F.when(F.col("_ll").isNotNull(), fused))
-    unknown = F.element_at("_ll", n + 1) + F.lit(math.log(UNKNOWN_PRIOR)) > F.array_max("_fused")
-    both = both.withColumn("_post", F.when(F.col("_fused").isNotNull(), _softmax(F.col("_fused"))))
-    best = F.array_max("_post")
-    named = F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position("_post", best).cast("int"))
-    usable = F.col("_ll").isNotNull() & ~unknown
+    both = both.withColumn(fused, F.when(F.col(ll).isNotNull(), total))
+    unknown = F.element_at(ll, n + 1) + F.lit(math.log(UNKNOWN_PRIOR)) > F.array_max(fused)
+    both = both.withColumn(post, F.when(F.col(fused).isNotNull(), _softmax(F.col(fused))))
+    best = F.array_max(post)
+    named = F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position(post, best).cast("int"))
+    usable = F.col(ll).isNotNull() & ~unknown
     result = F.struct(
         F.when(usable, named).otherwise(F.lit("und")).alias("language"),
         F.when(usable, F.round(best, 6)).otherwise(F.lit(0.0)).alias("confidence"),
         F.coalesce(usable & (best >= ACCEPT), F.lit(False)).alias("accepted"),
     )
-    return both.withColumn(out, result).drop("_host", "_ll", "_fused", "_post", "prior")
+    return both.select(*map(quoted, names), result.alias(out))

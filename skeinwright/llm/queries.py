@@ -70,10 +70,11 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = langid.fit(docs, "text", "lang", "doc_id")
-    found = langid.identify(docs.select("doc_id", "text", "lang", "source"), model, declared="lang", host="source")
-    return found.select("doc_id", "lid.language", "lid.confidence", "lid.accepted")
+    """Pages, whose addresses, hosts and markup are evidence beside their texts; trained on labelled documents."""
+    model = langid.fit(table(spark, sf_dir, "documents"), "text", "lang", "doc_id")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = langid.identify(pages, model, text="html", address="url", markup=True, keep_text=False)
+    return found.select("page_id", "lid.language", "lid.confidence", "lid.accepted")
 
 
 def op8_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
