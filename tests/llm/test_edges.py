@@ -416,12 +416,14 @@ def test_evidence_of_long_texts_is_a_parameter(spark):
     """A cap on independent trigrams leaves other evidence a say in long texts; without one they decide alone."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = spark.createDataFrame([("de", "the and of that " * 500), ("de", "the and")], "said string, text string")
-    sure = {}
-    for evidence in (5.0, 60.0, math.inf):
+    found, spread = {}, {}
+    for evidence in (0.25, 60.0, math.inf):
         model = langid.fit(docs, "text", "lang", "doc_id", evidence=evidence)
-        sure[evidence] = [r.lid.confidence for r in langid.identify(rows, model, declared="said").collect()]
-    assert sure[5.0][0] < sure[60.0][0] <= sure[math.inf][0] == 1.0
-    assert abs(sure[60.0][1] - sure[math.inf][1]) < 1e-9
+        found[evidence] = [r.lid.language for r in langid.identify(rows, model, declared="said").collect()]
+        spread[evidence] = [max(x[:-1]) - min(x[:-1]) for x in (model.score(b"the and of that " * 500), model.score(b"the and"))]
+    assert found == {0.25: ["de", "de"], 60.0: ["en", "en"], math.inf: ["en", "en"]}
+    assert abs(spread[60.0][0] / spread[0.25][0] - 240) < 1e-2 and spread[math.inf][0] > 100 * spread[60.0][0]
+    assert spread[60.0][1] == spread[math.inf][1]
 
 
 def test_rare_languages_are_learnt(spark):
