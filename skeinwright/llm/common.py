@@ -44,7 +44,7 @@ def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     executor costs no recomputation of what lies before it."""
     spark = df.sparkSession
     path = fresh_path(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -386,13 +386,15 @@ def _verify(dealt: DataFrame, texts: DataFrame, least: float, radius: int, insid
     spark = dealt.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bound_batches(spark)
-    rows = dealt.join(texts, F.col("node") == F.col("tn")).select("grp", "role", "node", "root", "fp", F.col("t").cast("binary").alias("t"))
+    # dealt by node already, where one text of each is kept
+    rows = dealt.join(texts.hint("merge"), F.col("node") == F.col("tn")).select("grp", "role", "node", "root", "fp", "t")
     rows = rows.repartition(n, "grp").sortWithinPartitions("grp", "role", "node")
     return rows.mapInArrow(lambda it: _search_verified(it, least, radius, inside), "a bigint, b bigint").distinct()
 
 
-def similar_roots(rows: DataFrame, least: float = SIMILARITY, radius: int = WIDE_RADIUS, cap: int = CAP, cap_bytes: int = CAP_BYTES) -> tuple:
-    """(node, root) of each linked node of rows (node, fp, bands, t), and the paths of tables that may go."""
+def similar_roots(rows: DataFrame, source: DataFrame, least: float = SIMILARITY, radius: int = WIDE_RADIUS, cap: int = CAP, cap_bytes: int = CAP_BYTES) -> tuple:
+    """(node, root) of each linked node of rows (p, q, node, fp, bands, size), and the paths of tables that may go;
+    ``source`` (p, q, t) has the texts, which are read for the nodes of trees alone."""
     spark = rows.sparkSession
     used: list[str] = []
 
@@ -401,8 +403,8 @@ def similar_roots(rows: DataFrame, least: float = SIMILARITY, radius: int = WIDE
         used.append(path)
         return df
 
-    held = F.coalesce(F.octet_length("t"), F.lit(0)).cast("long")
-    nodes = kept(rows.groupBy("node").agg(F.first("bands").alias("bands"), F.max(held).alias("size")), "nodes")
+    nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"), F.max("size").alias("size"), F.first("fp").alias("fp"), F.min(F.struct("p", "q")).alias("at"))
+    nodes = kept(nodes, "nodes")
     every = nodes.select("node", "size", F.explode("bands").alias("band"))
     marks = [F.expr(f"bit_xor(xxhash64({i}, node))").alias(f"s{i}") for i in (1, 2)]
     trees = every.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), *marks).filter("n > 1")
@@ -413,8 +415,9 @@ def similar_roots(rows: DataFrame, least: float = SIMILARITY, radius: int = WIDE
     members = every.join(trees, F.col("band") == F.col("tree")).select("tree", "shards", "node")
     members = kept(members.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(1)), F.col("shards")).cast("int")), "members")
     needed = members.select(F.col("node").alias("tn")).distinct()
-    texts = rows.select("node", "fp", "t").join(needed, F.col("node") == F.col("tn"), "left_semi")
-    texts = kept(texts.groupBy(F.col("node").alias("tn")).agg(F.first("fp").alias("fp"), F.first("t").alias("t")), "texts")
+    reps = nodes.join(needed, F.col("node") == F.col("tn")).select("tn", "fp", F.col("at.p").alias("rp"), F.col("at.q").alias("rq"))
+    reps = kept(reps, "texts")
+    texts = source.join(reps, (F.col("p") == F.col("rp")) & (F.col("q") == F.col("rq"))).select("tn", "fp", F.col("t").cast("binary").alias("t")).dropDuplicates(["tn"])
     grp = lambda *parts: F.concat_ws("/", *parts)
     own = members.select(grp("tree", "mine").alias("grp"), F.lit(0).alias("role"), "node", F.col("node").alias("root"))
     # some nodes of a tree of several shards search each shard, so that one large group of copies is linked at once
@@ -453,9 +456,10 @@ def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **opti
     kinds = dict(df.dtypes)
     every = [F.to_json(F.struct(quoted(c))) if "map" in kinds[c] or "variant" in kinds[c] else F.col(quoted(c)) for c in names]
     marks = [F.xxhash64(F.lit(i), *every) for i in (1, 2)]
-    made = sketches(df.select(F.col(quoted(key)).alias("k"), F.col(quoted(text)).alias("t"), marks[0].alias("p"), marks[1].alias("q")), "t", "s")
-    rows, path = written(made.select("k", "t", "p", "q", "s.node", "s.fp", "s.bands"), "sketches")
-    roots, *used = similar_roots(rows, **options)
+    source = df.select(F.col(quoted(key)).alias("k"), F.col(quoted(text)).alias("t"), marks[0].alias("p"), marks[1].alias("q"))
+    size = F.coalesce(F.octet_length("t"), F.lit(0)).cast("long").alias("size")
+    rows, path = written(sketches(source, "t", "s").select("k", "p", "q", "s.node", "s.fp", "s.bands", size), "sketches")
+    roots, *used = similar_roots(rows, source.select("p", "q", "t"), **options)
     roots = roots.select(F.col("node").alias("n"), "root")
     joined = rows.select("k", "p", "q", "node").join(roots, F.col("node") == F.col("n"), "left").withColumn("root", F.coalesce("root", "node"))
     best = joined.groupBy("root").agg(F.min(F.struct("k", "p", "q")).alias("best"))
