@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .queries import bytes_, metrics, ordering
+from .queries import bytes_, metrics, ordering, runs
 from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (metrics, ordering, bytes_)
+MODULES = (metrics, ordering, bytes_, runs)
 
 
 def _shipped(query: Query) -> Query:

@@ -32,11 +32,11 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> int:
             built = report.build(frames.select("stream").distinct(), metrics)
             Path(args.report_dir).mkdir(parents=True, exist_ok=True)
             name = f"{story.name}_{i}"
-            Path(args.report_dir, f"{name}.json").write_text(report.to_json(built, evaluated, story.name, "", story.duration_seconds).head().json)
+            Path(args.report_dir, f"{name}.json").write_text(report.to_json(built, evaluated, story.name, scenario.utc_now(), story.duration_seconds).head().json)
             Path(args.report_dir, f"{name}.html").write_text(report.to_html(built, evaluated, story.name))
         print(story.name, "PASS" if results[-1][1] else "FAIL")
     total = scenario.roll_up(spark.createDataFrame(results, "scenario string, passed boolean, n_assertions bigint, n_passed bigint")).head()
-    print(f"{total.scenarios_passed} of {total.total_scenarios} scenarios, {total.assertions_passed} of {total.total_assertions} assertions")
+    print(f"{total.scenarios_passed} of {total.total_scenarios} scenarios, {total.assertions_passed} of {total.total_assertions} assertions, {scenario.max_duration(stories):g} s at most")
     return 0 if total.all_passed else 1
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codecs import flip_bits
-from ..streaming.folds import ordered_fold
+from ..streaming.folds import ordered_fold, stateful_stream
 from .ordered import lag_across, numbered
 
 MAX_RULES = 256
@@ -57,20 +57,20 @@ def is_active(rule: Column, stream: Column, t: Column) -> Column:
 
 
 def with_active(frames: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Adds array ``active`` with the rules that hold at t_s for the stream, in the order of the rules."""
-    spark = frames.sparkSession
-    if len(rules) <= MAX_RULES:
-        names = [part.split() for part in SCHEMA.split(", ")]
-        literal = F.array(*[
-            F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip((i, *asdict(r).values()), names, strict=True)])
-            for i, r in enumerate(rules)
-        ])
-        return frames.withColumn("active", F.filter(literal, lambda r: is_active(r, F.col("stream"), F.col("t_s"))))
-    table = rules_table(spark, rules)
-    one = F.struct(*[F.col(f"r.{c}") for c in table.columns])
-    joined = frames.alias("f").join(F.broadcast(table.alias("r")), is_active(one, F.col("f.stream"), F.col("f.t_s")), "left")
-    found = F.array_sort(F.filter(F.collect_list(one), lambda x: x["rule_id"].isNotNull()))
-    return joined.groupBy(*[F.col(f"f.{c}").alias(c) for c in frames.columns]).agg(found.alias("active"))
+    """Adds array ``active`` with the rules that hold at t_s for the stream, in the order of the rules.
+
+    Rules are literals of the plan, ``MAX_RULES`` to an array, however many there are: every frame stays one row,
+    equal ones too, and nothing is joined."""
+    names = [part.split() for part in SCHEMA.split(", ")]
+    structs = [
+        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip((i, *asdict(r).values()), names, strict=True)])
+        for i, r in enumerate(rules)
+    ]
+    chunks = [F.array(*structs[k : k + MAX_RULES]) for k in range(0, len(structs), MAX_RULES)]
+    if not chunks:
+        chunks = [F.from_json(F.lit("[]"), f"array<struct<{', '.join(f'{n}: {k}' for n, k in names)}>>")]
+    hold = [F.filter(c, lambda r: is_active(r, F.col("stream"), F.col("t_s"))) for c in chunks]
+    return frames.withColumn("active", F.concat(*hold) if len(hold) > 1 else hold[0])
 
 
 def has(*kinds: str) -> Column:
@@ -136,25 +136,41 @@ def corrupted(frames: DataFrame, seed: int = 1, bits: int = 4, payload: str = "p
     return changed.unionByName(frames.filter(~hit).withColumn(payload, F.col(payload).cast("binary")))
 
 
-def bandwidth_limited(frames: DataFrame, size: str = "bytes") -> DataFrame:
-    """Token bucket per stream, in event time: one second of bytes at most, full at first; a frame over the
-    tokens left is dropped and takes none. Rows (stream, id, us, kbps, bytes); kbps null: no limit."""
-
-    def start() -> tuple | None:
-        return None
-
-    def step(state, row):
-        verdict = True
-        if row["kbps"] is not None and row["kbps"] > 0:
-            cap = row["kbps"] * 125.0
-            tokens, last = state or (cap, row["us"])
-            tokens = min(cap, tokens + (row["us"] - last) / 1e6 * cap)
-            verdict = tokens >= row["bytes"]
-            state = (tokens - row["bytes"] if verdict else tokens, row["us"])
-        return state, [{"stream": row["stream"], "id": row["id"], "forwarded": verdict}]
+BUCKET_OUT = "stream string, id bigint, forwarded boolean"
+
+
+def bucket_start() -> tuple | None:
+    return None
+
+
+def bucket_step(state: tuple | None, row: dict) -> tuple[tuple | None, list[dict]]:
+    """One frame: one second of bytes at most in the bucket, full at first; a frame over the tokens left is
+    dropped and takes none."""
+    verdict = True
+    if row["kbps"] is not None and row["kbps"] > 0:
+        cap = row["kbps"] * 125.0
+        tokens, last = state or (cap, row["us"])
+        tokens = min(cap, tokens + (row["us"] - last) / 1e6 * cap)
+        verdict = tokens >= row["bytes"]
+        state = (tokens - row["bytes"] if verdict else tokens, row["us"])
+    return state, [{"stream": row["stream"], "id": row["id"], "forwarded": verdict}]
 
+
+def bandwidth_limited(frames: DataFrame, size: str = "bytes") -> DataFrame:
+    """Token bucket per stream, in event time. Rows (stream, id, us, kbps, bytes); those without a limit (kbps null
+    or 0) are forwarded as they come, and only the others are put in order."""
     rows = frames.select("stream", "id", "us", "kbps", F.col(size).cast("long").alias("bytes"))
-    return ordered_fold(rows, "stream", ["id"], start, step, "stream string, id bigint, forwarded boolean")
+    free = rows.filter("kbps is null or kbps <= 0").select("stream", "id", F.lit(True).alias("forwarded"))
+    return free.unionByName(ordered_fold(rows.filter("kbps > 0"), "stream", ["id"], bucket_start, bucket_step, BUCKET_OUT))
+
+
+def bandwidth_stream(frames: DataFrame) -> DataFrame:
+    """The same over a streaming frame; the bucket lives in the state store."""
+    rows = frames.select("stream", "id", "us", "kbps", "bytes")
+    return stateful_stream(
+        rows, "stream", ["id"], bucket_start, bucket_step, BUCKET_OUT, "tokens double, last bigint",
+        lambda s: (float("nan"), 0) if s is None else (float(s[0]), int(s[1])), lambda s: None if s[0] != s[0] else (s[0], s[1]),
+    )
 
 
 def kbps() -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,11 +110,27 @@ def matrix(scenarios: DataFrame, times: int, base_port: int = 0, prefix: str = "
     return runs.select("scenario", index.cast("long").alias("run_index"), F.concat(F.lit(f"{prefix}_"), index.cast("string")).alias("namespace"), port.cast("long").alias("metrics_port"))
 
 
+def max_duration(scenarios: list[Scenario]) -> float:
+    """How long scenarios take that run side by side."""
+    return max((s.duration_seconds for s in scenarios), default=0.0)
+
+
+def utc_now() -> str:
+    """The time of a report, in UTC."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def restarts(frames: DataFrame, scenario: Scenario) -> DataFrame:
+    """(stream, id) of the frames at which a process restarts: each is one call of a restart hook."""
+    return faults.restart_edges(faults.with_active(frames, list(scenario.faults))).select("stream", "id")
+
+
 def run(frames: DataFrame, scenario: Scenario, rate_hz: float, as_built: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(metrics long, evaluated assertions) of a scenario over frames with t_s."""
+    """(metrics long, evaluated assertions) of a scenario over frames with t_s. Each stream is expected at the rate
+    that the scenario gives it; ``rate_hz`` is for scenarios that name no streams."""
     spark = frames.sparkSession
     mine = frames.filter(F.col("stream").isin(list(scenario.streams))) if scenario.streams else frames
     after = faults.apply_faults(mine, list(scenario.faults))
     arrived = after.withColumn("us", F.col("us" if as_built else "due_us")).withColumn("latency", F.col("latency") - (F.col("delay") if as_built else 0.0))
-    metrics = stream_metrics.unpivot(stream_metrics.stream_metrics(arrived, rate_hz, scenario.duration_seconds))
+    metrics = stream_metrics.unpivot(stream_metrics.stream_metrics(arrived, scenario.streams or rate_hz, scenario.duration_seconds))
     return metrics, evaluate(assertions_table(spark, [scenario]), metrics)

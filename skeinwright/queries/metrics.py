@@ -126,7 +126,7 @@ def topk_latency(spark, sf):
 
 
 def set_ops(spark, sf):
-    hours = lambda s: events.frames(spark, sf).filter(F.col("stream") == s).select(F.expr(f"us div {HOUR}").alias("hour"))
+    hours = lambda s: events.frames(spark, sf, streams=(s,)).select(F.expr(f"us div {HOUR}").alias("hour"))
     both = hours("camera").intersect(hours("lidar")).select("hour", F.lit("both").alias("part"))
     return both.unionByName(hours("camera").subtract(hours("lidar")).select("hour", F.lit("camera_only").alias("part")))
 
@@ -146,9 +146,9 @@ def session_activity(spark, sf):
 
 
 def asof_align(spark, sf):
-    frames = events.frames(spark, sf).withColumn("link", F.lit(0))
-    left = frames.filter("stream = 'camera'").select("link", "us", "id")
-    right = frames.filter("stream = 'gps'").select("link", "us", F.col("latency").alias("gps_latency"))
+    of = lambda s: events.frames(spark, sf, streams=(s,)).withColumn("link", F.lit(0))
+    left = of("camera").select("link", "us", "id")
+    right = of("gps").select("link", "us", F.col("latency").alias("gps_latency"))
     return ordered.as_of(left, right, "link", "us", "gps_latency", "gps_latency", 24 * HOUR).select("id", "us", "gps_latency")
 
 

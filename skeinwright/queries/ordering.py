@@ -54,11 +54,11 @@ def replay_index(spark, sf):
 
 
 def replay_seek(spark, sf):
-    return events.frames(spark, sf).filter(F.col("us") >= events.START_US + 20 * DAY).select("id", "us")
+    return events.frames(spark, sf, since_us=events.START_US + 20 * DAY).select("id", "us")
 
 
 def replay_schedule(spark, sf):
-    rows = events.frames(spark, sf).select("id", "us")
+    rows = events.frames(spark, sf, since_us=events.START_US + 25 * DAY).select("id", "us")
     return ordered.schedule(rows, "us", 4.0, "fast", events.START_US + 25 * DAY).select("id", "due_us")
 
 
@@ -124,8 +124,8 @@ def fault_restart_edges(spark, sf):
 
 def fault_bandwidth(spark, sf):
     """An hour of capture time counts as a second, so that the bucket matters."""
-    rows = _frames(spark, sf).filter("stream = 'gps'")
-    rows = rows.select("stream", "id", F.expr("us div 3600").alias("us"), F.lit(KBPS).alias("kbps"), F.octet_length("payload").alias("bytes"))
+    limit = F.when(F.col("stream") == "gps", KBPS)  # other streams have no limit
+    rows = _frames(spark, sf).select("stream", "id", F.expr("us div 3600").alias("us"), limit.alias("kbps"), F.octet_length("payload").alias("bytes"))
     return faults.bandwidth_limited(rows)
 
 
@@ -237,7 +237,7 @@ SQL = {
     "fault_duplicate": f"{BASE}, d AS (SELECT id, count(*) AS n FROM j WHERE kind = 'duplicate' GROUP BY id) SELECT stream, CAST(count(*) + sum(coalesce(n, 0)) AS BIGINT) AS emitted, CAST(sum(coalesce(n * (n + 1) // 2, 0)) AS BIGINT) AS extra FROM f LEFT JOIN d USING (id) GROUP BY stream",
     "fault_reorder": f"{BASE}, w AS (SELECT stream, id, row_number() OVER (PARTITION BY stream ORDER BY id) AS rn, lead(id) OVER (PARTITION BY stream ORDER BY id) AS nxt FROM j WHERE kind = 'reorder') SELECT stream, id, CASE WHEN rn % 2 = 1 THEN nxt * 2 + 1 ELSE id * 2 END AS out_pos, rn % 2 = 1 AND nxt IS NULL AS held_lost FROM w",
     "fault_restart_edges": f"{BASE}, c AS (SELECT f.stream, f.id, count(rule_id) AS n, count(*) FILTER (kind = 'process_restart') AS restarts FROM f LEFT JOIN j USING (id) GROUP BY f.stream, f.id), e AS (SELECT *, sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY stream ORDER BY id) AS epoch FROM c) SELECT stream, min(id) AS id FROM e WHERE restarts > 0 GROUP BY stream, epoch",
-    "fault_bandwidth": f"{events.SQL}, o AS (SELECT id, us // 3600 AS us, strlen(payload) AS b, row_number() OVER (ORDER BY id) AS rn FROM frames WHERE stream = 'gps'), r AS (SELECT id, rn, us, {KBPS * 125.0!r}e0 - b AS tok, true AS fwd FROM o WHERE rn = 1 UNION ALL SELECT id, rn, us, CASE WHEN t >= b THEN t - b ELSE t END, t >= b FROM (SELECT o.id, o.rn, o.us, o.b, least({KBPS * 125.0!r}e0, r.tok + (o.us - r.us) / 1e6 * {KBPS * 125.0!r}e0) AS t FROM r JOIN o ON o.rn = r.rn + 1)) SELECT 'gps' AS stream, id, fwd AS forwarded FROM r",
+    "fault_bandwidth": f"{events.SQL}, o AS (SELECT id, us // 3600 AS us, strlen(payload) AS b, row_number() OVER (ORDER BY id) AS rn FROM frames WHERE stream = 'gps'), r AS (SELECT id, rn, us, {KBPS * 125.0!r}e0 - b AS tok, true AS fwd FROM o WHERE rn = 1 UNION ALL SELECT id, rn, us, CASE WHEN t >= b THEN t - b ELSE t END, t >= b FROM (SELECT o.id, o.rn, o.us, o.b, least({KBPS * 125.0!r}e0, r.tok + (o.us - r.us) / 1e6 * {KBPS * 125.0!r}e0) AS t FROM r JOIN o ON o.rn = r.rn + 1)) SELECT 'gps' AS stream, id, fwd AS forwarded FROM r UNION ALL SELECT stream, id, true FROM frames WHERE stream <> 'gps'",
     "fault_corrupt_detect": f"{BASE} SELECT stream, 'payload_crc_mismatch' AS error, count(*) AS n FROM j WHERE kind = 'corrupt' GROUP BY stream",
     "fault_stats": f"{BASE}, {_FLAGS} SELECT stream, CAST(sum(CASE WHEN gone = 0 AND swaps = 0 THEN 1 + dups ELSE 0 END) + 2 * (count(*) FILTER (gone = 0 AND swaps > 0) // 2) AS BIGINT) AS forwarded, count(*) FILTER (gone = 1) AS dropped, CAST(sum(CASE WHEN gone = 0 AND swaps = 0 THEN dups ELSE 0 END) AS BIGINT) AS duplicated, count(*) FILTER (gone = 0 AND hits > 0) AS corrupted, count(*) FILTER (gone = 0 AND swaps > 0) // 2 AS reordered, CAST(sum(CASE WHEN gone = 0 AND delay > 0 THEN 1 + CASE WHEN swaps = 0 THEN dups ELSE 0 END ELSE 0 END) AS BIGINT) AS delayed FROM s GROUP BY stream",
     "backpressure_sim": f"{_QUEUE} SELECT * EXCLUDE (policy) FROM z",

@@ -6,6 +6,8 @@ milliseconds and props the payload.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,16 @@ def _case(column: Column, values: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[column]
 
 
-def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, stream, us, latency, payload); us counts microseconds since 1970."""
+def frames(spark: SparkSession, sf_dir: str, since_us: int | None = None, streams: tuple[str, ...] | None = None) -> DataFrame:
+    """(id, stream, us, latency, payload); us counts microseconds since 1970. ``since_us`` and ``streams`` filter
+    the stored columns, so that the scan can leave out row groups."""
     events = table(spark, sf_dir, "events")
+    if since_us is not None:
+        at = datetime.fromtimestamp(since_us // 1_000_000, timezone.utc).replace(microsecond=since_us % 1_000_000, tzinfo=None)
+        kind = events.schema["ts"].dataType.simpleString()
+        events = events.filter(F.col("ts") >= F.lit(at.isoformat(" ")).cast(kind))
+    if streams is not None:
+        events = events.filter(F.col("event_type").isin([k for k, v in STREAMS.items() if v in streams]))
     return events.select(
         F.col("event_id").alias("id"),
         _case(F.col("event_type"), STREAMS).alias("stream"),

@@ -10,6 +10,7 @@ before a checksum is taken.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,10 @@ RECORDS = "segment_id bigint, at bigint, record_length bigint, timestamp_ns bigi
 STATS = "segment_id bigint, records_ok bigint, records_corrupt_skipped bigint, bytes_skipped bigint"
 
 
+#: Bytes of a segment that are looked at in one step.
+BLOCK = 1 << 20
+
+
 def segment_name(number: int) -> str:
     return f"segment-{number:06d}.sflog"
 
@@ -41,15 +46,20 @@ def segment_number(name: str) -> int:
 
 
 def plausible(data: bytes) -> np.ndarray:
-    """Places whose length fields fit each other and the data: all that can begin a record."""
+    """Places whose length fields fit each other and the data: all that can begin a record. The two fields are
+    compared as words of the data itself, at the four alignments, ``BLOCK`` bytes at a time."""
     n = len(data) - codecs.RECORD_OVERHEAD + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
-    b = np.frombuffer(data, np.uint8).astype(np.int64)
-    word = lambda at: b[at : at + n] | b[at + 1 : at + 1 + n] << 8 | b[at + 2 : at + 2 + n] << 16 | b[at + 3 : at + 3 + n] << 24
-    length, payload = word(0), word(22)
-    good = (payload <= codecs.MAX_PAYLOAD) & (length == payload + codecs.RECORD_OVERHEAD) & (np.arange(n) + length <= len(data))
-    return np.flatnonzero(good)
+    found = [np.empty(0, np.int64)]
+    for low in range(0, n, BLOCK):
+        high, own = min(n, low + BLOCK), []
+        for at in range(low, min(low + 4, high)):
+            many = (high - at + 3) // 4
+            length, payload = (np.frombuffer(data, "<u4", many, at + k) for k in (0, 22))
+            fits = np.flatnonzero((payload <= codecs.MAX_PAYLOAD) & (length == payload + np.uint32(codecs.RECORD_OVERHEAD)))
+            places = at + 4 * fits
+            own.append(places[places + length[fits] <= len(data)])
+        found.append(np.sort(np.concatenate(own)))
+    return np.concatenate(found)
 
 
 def scan_segment(data: bytes) -> tuple[list[tuple[int, tuple, bytes]], dict]:
@@ -165,13 +175,18 @@ def assign_segments(df: DataFrame, limit: int = SEGMENT_BYTES, first: int = 1) -
 
 def write_log(df: DataFrame, folder: str, limit: int = SEGMENT_BYTES) -> DataFrame:
     """Appends rows (pos, timestamp_ns, sensor_type, sequence, payload) in the order of pos; goes on behind
-    the last segment there is. Oversize payloads are left out. Returns (segment_id, records, bytes)."""
+    the last segment there is. Returns (segment_id, records, bytes); payloads over the format's limit can't be
+    written and are counted, with their bytes, in a row whose segment_id is null."""
     spark = df.sparkSession
     ship(spark)
     fs, root = _store(folder)
     fs.create_dir(root, recursive=True)
     there = [segment_number(f.base_name) for f in fs.get_file_info(pafs.FileSelector(root))]
-    rows = df.withColumn("payload", F.coalesce(F.col("payload").cast("binary"), F.lit(b""))).filter(F.octet_length("payload") <= codecs.MAX_PAYLOAD)
+    every = df.withColumn("payload", F.coalesce(F.col("payload").cast("binary"), F.lit(b"")))
+    rows = every.filter(F.octet_length("payload") <= codecs.MAX_PAYLOAD)
+    refused = every.filter(F.octet_length("payload") > codecs.MAX_PAYLOAD).agg(
+        F.lit(None).cast("long").alias("segment_id"), F.count(F.lit(1)).alias("records"), F.sum(F.octet_length("payload").cast("long")).alias("bytes")
+    ).filter("records > 0")
     sized = rows.select(F.lit("log").alias("log"), "pos", (F.octet_length("payload") + codecs.RECORD_OVERHEAD).alias("length"))
     placed = assign_segments(sized, limit, max([0, *there]) + 1).select(F.col("pos").alias("p"), "segment_id")
     both = rows.join(placed, F.col("pos") == F.col("p")).drop("p")
@@ -182,11 +197,12 @@ def write_log(df: DataFrame, folder: str, limit: int = SEGMENT_BYTES) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         current, out, counts, done = None, None, [0, 0], []
+        attempt = uuid.uuid4().hex  # a task that is run again or twice at a time has files of its own
 
         def close() -> None:
             if out is not None:
                 out.close()
-                store.move(f"{base}/.{segment_name(current)}", f"{base}/{segment_name(current)}")
+                store.move(f"{base}/.{segment_name(current)}-{attempt}", f"{base}/{segment_name(current)}")
                 done.append((current, *counts))
 
         for batch in batches:
@@ -194,11 +210,11 @@ def write_log(df: DataFrame, folder: str, limit: int = SEGMENT_BYTES) -> DataFra
                 if number != current:
                     close()
                     current, counts = number, [0, 0]
-                    out = store.open_output_stream(f"{base}/.{segment_name(number)}")
+                    out = store.open_output_stream(f"{base}/.{segment_name(number)}-{attempt}")
                 out.write(raw)
                 counts[0] += 1
                 counts[1] += len(raw)
         close()
         yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.int64()) for i in range(3)], ["segment_id", "records", "bytes"])
 
-    return dealt.mapInArrow(run, "segment_id bigint, records bigint, bytes bigint")
+    return dealt.mapInArrow(run, "segment_id bigint, records bigint, bytes bigint").unionByName(refused)
