@@ -417,7 +417,8 @@ def similar_roots(rows: DataFrame, source: DataFrame, least: float = SIMILARITY,
     needed = members.select(F.col("node").alias("tn")).distinct()
     reps = nodes.join(needed, F.col("node") == F.col("tn")).select("tn", "fp", F.col("at.p").alias("rp"), F.col("at.q").alias("rq"))
     reps = kept(reps, "texts")
-    texts = source.join(reps, (F.col("p") == F.col("rp")) & (F.col("q") == F.col("rq"))).select("tn", "fp", F.col("t").cast("binary").alias("t")).dropDuplicates(["tn"])
+    # by sorting at every size: neither side has a bound
+    texts = source.join(reps.hint("merge"), (F.col("p") == F.col("rp")) & (F.col("q") == F.col("rq"))).select("tn", "fp", F.col("t").cast("binary").alias("t")).dropDuplicates(["tn"])
     grp = lambda *parts: F.concat_ws("/", *parts)
     own = members.select(grp("tree", "mine").alias("grp"), F.lit(0).alias("role"), "node", F.col("node").alias("root"))
     # some nodes of a tree of several shards search each shard, so that one large group of copies is linked at once
@@ -469,7 +470,7 @@ def first_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **opti
     for p in (path, *used):
         release(df.sparkSession, p)
     kept = df.select("*", marks[0].alias(mark1), marks[1].alias(mark2))
-    kept = kept.join(best, (F.col(mark1) == F.col(m1)) & (F.col(mark2) == F.col(m2))).drop(m1, m2)
+    kept = kept.join(best.hint("merge"), (F.col(mark1) == F.col(m1)) & (F.col(mark2) == F.col(m2))).drop(m1, m2)
     if more.isEmpty():
         return kept.select(*map(quoted, names))
     flat = [quoted(c) for c in names if "map" not in kinds[c] and "variant" not in kinds[c] and c != text]
