@@ -46,6 +46,7 @@ BITS = [1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 ESCAPE = 14
 #: White space other than the space and the newline (a fixed value).
 RARE_SPACE = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+RARE_ASCII = "\t\x0b\x0c\r"
 CACHE = 400_000
 LONG = 64
 
@@ -269,15 +270,17 @@ class ByteBPE:
         return found
 
     def _chunk(self, chunk: str) -> bytes:
+        if not chunk.isascii() and self.unlike(chunk):
+            return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         word = self._word
         return b"".join([word(w) for w in self.split.findall(chunk)])
 
     def encode(self, text: str) -> np.ndarray:
         """Ids, as ``library.encode(text, add_special_tokens=False)`` has them."""
-        if any(a in text for a in self.added) or (not text.isascii() and self.unlike(text)):
+        if any(a in text for a in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
         parts = text.split(" ")
-        if "" in parts or " \n" in text or "\n " in text or (any(c in text for c in RARE_SPACE) and self.uneven.search(text)):
+        if "" in parts or " \n" in text or "\n " in text or (any(c in text for c in (RARE_ASCII if text.isascii() else RARE_SPACE)) and self.uneven.search(text)):
             parts = self.blanks.split(text)
         chunks = self.chunks
         first = self._chunk(parts[0])
