@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -264,12 +265,14 @@ class ByteBPE:
         found = self.words.young.get(word) or self.words.missed(word)
         if found is None:
             shown = word.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+            found = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
             if len(word) <= LONG:
                 self.words.put(word, found)
         return found
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk[1:].isalpha() and chunk[0] == " ":  # one pre-token, without a search
+            return self._word(chunk)
         if not chunk.isascii() and self.unlike(chunk):
             return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         word = self._word
@@ -287,15 +290,14 @@ class ByteBPE:
         out = list(map(chunks.young.get, parts))
         out[0] = first
         if None in out:
-            for i, found in enumerate(out):
+            for i in [i for i, found in enumerate(out) if found is None]:
+                part = parts[i]
+                found = chunks.young.get(part) or chunks.missed(part)
                 if found is None:
-                    part = parts[i]
-                    found = chunks.young.get(part) or chunks.missed(part)
-                    if found is None:
-                        found = self._chunk(" " + part)
-                        if len(part) <= LONG:
-                            chunks.put(part, found)
-                    out[i] = found
+                    found = self._chunk(" " + part)
+                    if len(part) <= LONG:
+                        chunks.put(part, found)
+                out[i] = found
         return np.frombuffer(b"".join(out), "<u4")
 
 
