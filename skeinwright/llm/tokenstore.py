@@ -21,6 +21,7 @@ Very long texts are cut into many blocks. Only the named columns are read.
 from __future__ import annotations
 
 import json
+import string
 import struct
 import uuid
 from array import array
@@ -29,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 from pyspark import TaskContext
@@ -48,7 +50,8 @@ ESCAPE = 14
 #: White space other than the space and the newline (a fixed value).
 RARE_SPACE = "\t\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 RARE_ASCII = "\t\x0b\x0c\r"
-CACHE = 400_000
+MARKS = string.punctuation
+CACHE = 600_000
 LONG = 64
 
 
@@ -259,7 +262,7 @@ class ByteBPE:
         self.blanks = regex.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
         self.uneven = regex.compile(rf"[{SPACE}] | [{SPACE}]|^ | $")
         self.letters = {b: c for b, c in enumerate(byte_letters())}
-        self.words, self.chunks = Remembered(CACHE), Remembered(CACHE)
+        self.words = Remembered(CACHE)
 
     def _word(self, word: str) -> bytes:
         found = self.words.young.get(word) or self.words.missed(word)
@@ -271,34 +274,57 @@ class ByteBPE:
         return found
 
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk[1:].isalpha() and chunk[0] == " ":  # one pre-token, without a search
-            return self._word(chunk)
         if not chunk.isascii() and self.unlike(chunk):
             return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        word = self._word
-        return b"".join([word(w) for w in self.split.findall(chunk)])
+        return b"".join(map(self._word, self.split.findall(chunk)))
+
+    def _after(self, part: str) -> bytes:
+        """The ids of what follows a space, with the space."""
+        core = part.rstrip(MARKS)
+        if core.isascii() and core.isalpha():  # letters, then marks: two pre-tokens, without a search
+            found = self._word(" " + core)
+            return found if len(core) == len(part) else found + self._word(part[len(core) :])
+        return self._chunk(" " + part)
+
+    def _even(self, text: str) -> bool:
+        """Whether each space stands between two characters that aren't white space."""
+        if text.startswith(" ") or text.endswith(" ") or "  " in text or " \n" in text or "\n " in text:
+            return False
+        rare = RARE_ASCII if text.isascii() else RARE_SPACE
+        return not (any(c in text for c in rare) and self.uneven.search(text))
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as ``library.encode(text, add_special_tokens=False)`` has them.
+
+        Texts of even spaces are split together, and each different part of them is looked up once."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        even = []
+        for i, text in enumerate(texts):
+            if any(a in text for a in self.added):
+                out[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+            elif self._even(text):
+                even.append(i)
+            else:
+                first, *rest = self.blanks.split(text)
+                out[i] = np.frombuffer(self._chunk(first) + b"".join(map(self._after, rest)), "<u4")
+        if even:
+            parts = pc.split_pattern(pa.array([texts[i] for i in even], pa.large_string()), " ")
+            coded = parts.values.dictionary_encode()
+            known = pa.array(map(self._after, coded.dictionary.to_pylist()), pa.large_binary())
+            made = known.take(coded.indices)
+            _, offsets, data = made.buffers()
+            at = np.frombuffer(offsets, "<i8")[: len(made) + 1] // 4
+            ids = np.frombuffer(data, "<u4", at[-1])
+            bounds = parts.offsets.to_numpy()
+            starts, ends = at[bounds[:-1] + 1].tolist(), at[bounds[1:]].tolist()
+            for i, start, end in zip(even, starts, ends, strict=True):  # no space before a text's first part
+                text = texts[i]
+                first = np.frombuffer(self._chunk(text.partition(" ")[0]), "<u4")
+                out[i] = np.concatenate([first, ids[start:end]])
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids, as ``library.encode(text, add_special_tokens=False)`` has them."""
-        if any(a in text for a in self.added):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        parts = text.split(" ")
-        if "" in parts or " \n" in text or "\n " in text or (any(c in text for c in (RARE_ASCII if text.isascii() else RARE_SPACE)) and self.uneven.search(text)):
-            parts = self.blanks.split(text)
-        chunks = self.chunks
-        first = self._chunk(parts[0])
-        out = list(map(chunks.young.get, parts))
-        out[0] = first
-        if None in out:
-            for i in [i for i, found in enumerate(out) if found is None]:
-                part = parts[i]
-                found = chunks.young.get(part) or chunks.missed(part)
-                if found is None:
-                    found = self._chunk(" " + part)
-                    if len(part) <= LONG:
-                        chunks.put(part, found)
-                out[i] = found
-        return np.frombuffer(b"".join(out), "<u4")
+        return self.encode_all([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -325,8 +351,9 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, range
             fs.create_dir(root, recursive=True)
             out = fs.open_output_stream(own)
             writer = Writer(out, batch.column(0).type, block)
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids = np.concatenate([model.encode(text), end]) if text else end
+        texts = [text or "" for text in batch.column(1).to_pylist()]
+        for key, ids in zip(batch.column(0).to_pylist(), model.encode_all(texts), strict=True):
+            ids = np.concatenate([ids, end])
             writer.add(key, ids)
             docs += 1
             tokens += len(ids)
@@ -340,7 +367,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, range
 def write_tokens(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = 0, block: int = BLOCK) -> list[tuple[int, int, int, int]]:
     """Writes the files and returns the manifest, one (part, documents, ids, bytes) for each file."""
     spark = df.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, rows=4096)  # the more texts of a batch, the more often a part is looked up once
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.select(key, text).repartitionByRange(n, key).sortWithinPartitions(key, text)
 

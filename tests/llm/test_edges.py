@@ -247,6 +247,16 @@ def test_token_blocks_cross_documents(spark):
 TRICKY = ["", "a", " a", "a ", "a  b", "a   b\n\n c", "\n x\t y \x1c z\x85q  r ", "it's we'll I'M", "<|endoftext|>foo <|endoftext|> bar", "<|startoftext|>Ä ÉΣΑΣ é x² ⅷ 12 34!", "日本語 テキスト　です", "x" * 300 + " ' 's", "\x00 a\x00", "don't  'S ﬁ İ ẞ", "a  b", "a  b", "👩‍👩‍👧 é", "\r\n \r\n", "a\x1f b \x1fc"]
 
 
+def test_byte_tokenizer_on_texts_together():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    texts = [*TRICKY, "", " ", "a", "one two, two. (two) don't", "one  two", "two,\n two", "é two", "9 two", *TRICKY]
+    library = Tokenizer.from_file(path)
+    found = tokenstore.load(path).encode_all(texts)
+    assert [x.tolist() for x in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("text", TRICKY)
 def test_tokenizers_on_tricky_texts(text):
     from tokenizers import Tokenizer
