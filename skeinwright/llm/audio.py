@@ -31,6 +31,7 @@ WINDOW, HOP, FFT, MELS = 200, 80, 256, 40
 TENSOR_FRAMES = 32
 ENTER_DB, LEAVE_DB = 0.0, -3.0
 BLOCK = 1 << 15
+GRID = 256
 HEADER = 44
 
 FEATURES = (
@@ -72,7 +73,7 @@ def filter_bank(up: int, down: int, crossings: int = 6) -> tuple[np.ndarray, int
     h = np.sinc(t) * np.kaiser(2 * centre + 1, 6.0)
     h *= up / h.sum()
     h = np.concatenate([h, np.zeros(-len(h) % up)])
-    return h.reshape(-1, up).T.astype(np.float32), centre
+    return h.reshape(-1, up).T, centre
 
 
 def resample(x: np.ndarray, up: int, down: int) -> np.ndarray:
@@ -80,9 +81,9 @@ def resample(x: np.ndarray, up: int, down: int) -> np.ndarray:
     phases, centre = filter_bank(up, down)
     taps = phases.shape[1]
     count = -(-len(x) * up // down)
-    y = np.empty(count, np.float32)
+    y = np.empty(count)
     reach = (count * down + centre) // up + 1
-    padded = np.zeros(taps - 1 + max(reach, len(x)), np.float32)
+    padded = np.zeros(taps - 1 + max(reach, len(x)))
     padded[taps - 1 : taps - 1 + len(x)] = x
     windows = sliding_window_view(padded, taps)
     for first in range(min(up, count)):
@@ -102,28 +103,33 @@ def mel_weights() -> np.ndarray:
     bins = np.arange(FFT // 2 + 1) * RATE / FFT
     rise = (bins[:, None] - edges[:-2]) / (edges[1:-1] - edges[:-2])
     fall = (edges[2:] - bins[:, None]) / (edges[2:] - edges[1:-1])
-    return np.maximum(0, np.minimum(rise, fall)).astype(np.float32)
+    return np.maximum(0, np.minimum(rise, fall))
 
 
 @lru_cache
 def hann() -> np.ndarray:
-    return (0.5 - 0.5 * np.cos(2 * np.pi * np.arange(WINDOW) / WINDOW)).astype(np.float32)
+    return 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(WINDOW) / WINDOW)
+
+
+def on_grid(x: np.ndarray) -> np.ndarray:
+    """Rounded to 1/GRID, so that the last bits, in which processors differ, don't reach stored values."""
+    return np.round(x * GRID) / GRID
 
 
 def log_mel(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log-mel frames (n x MELS) and each frame's energy in dB; the last frame is padded with zeros."""
     count = 1 + max(0, -(-(len(y) - WINDOW) // HOP))
-    padded = np.zeros(WINDOW + (count - 1) * HOP, np.float32)
+    padded = np.zeros(WINDOW + (count - 1) * HOP)
     padded[: len(y)] = y[: len(padded)]
     frames = sliding_window_view(padded, WINDOW)[::HOP]
-    mels, energy = np.empty((count, MELS), np.float32), np.empty(count, np.float32)
+    mels, energy = np.empty((count, MELS)), np.empty(count)
     step = max(1, BLOCK // WINDOW)
     for k in range(0, count, step):
         part = frames[k : k + step]
-        energy[k : k + step] = 10 * np.log10(np.einsum("ij,ij->i", part, part) / WINDOW + 1e-10)
+        energy[k : k + step] = on_grid(10 * np.log10(np.einsum("ij,ij->i", part, part) / WINDOW + 1e-10))
         spectrum = np.fft.rfft(part * hann(), FFT)
         power = spectrum.real**2 + spectrum.imag**2
-        mels[k : k + step] = np.log(power.astype(np.float32) @ mel_weights() + 1e-6)
+        mels[k : k + step] = on_grid(np.log(power @ mel_weights() + 1e-6))
     return mels, energy
 
 
@@ -139,7 +145,7 @@ def hysteresis(energy: np.ndarray, enter: float, leave: float) -> list[tuple[int
 def features_of(media: bytes) -> dict:
     """The features of one stored value."""
     rate, samples = wav_decode(media)
-    x = (np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128
+    x = (np.frombuffer(samples, np.uint8).astype(np.float64) - 128) / 128
     step = np.gcd(rate, RATE)
     mels, energy = log_mel(resample(x, int(RATE // step), int(rate // step)))
     mean = float(energy.mean(dtype=np.float64))
