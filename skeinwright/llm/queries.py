@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import audio, bpe, decontam, langid, secretscan, sharding, simhash, surrogates, tokenstore, warc
-from .common import table
+from .common import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +23,8 @@ def tokenizer_path(name: str) -> str:
 def op1_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     raw = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    stored = audio.media_table(docs.withColumn("n_bytes", raw)).drop("text")
+    # the stored form is written to the shared folder, and all that follows comes from the bytes read back
+    stored = materialize(audio.media_table(docs.withColumn("n_bytes", raw)).drop("text"), "media")
     done = audio.audio_features(stored)
     samples = audio.wav_payload(F.col("media"))
     return done.select(
@@ -65,7 +66,8 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    made = warc.derive(warc.responses(pages).select("page_id", "response"))
+    # the derived records are written to the shared folder; digests are those of the records read back
+    made = materialize(warc.derive(warc.responses(pages).select("page_id", "response")), "derivatives")
     return made.select("page_id", "derived.*").withColumn("record_sha256", F.sha2("record", 256)).drop("record")
 
 
