@@ -299,6 +299,15 @@ SQL = {
     "route_by_topic": f"{_E} SELECT 'ns_' || stream AS topic, count(*) AS n, CAST(sum(strlen(payload)) AS BIGINT) AS bytes FROM frames GROUP BY 1",
     "bench_parse": "WITH l AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{x}')" for i, x in enumerate(BENCH_LINES)) + ") v(pos, line)), b AS (SELECT split_part(line, ' ', 2) AS name, max_by(line, pos) AS line FROM l WHERE line LIKE '[BENCH] %' GROUP BY 1), k AS (SELECT name, unnest(regexp_extract_all(line, '[a-zA-Z0-9_/]+=[0-9.eE+-]+')) AS kv FROM b) SELECT name, replace(split_part(kv, '=', 1), '/', '_') AS field, CAST(split_part(kv, '=', 2) AS DOUBLE) AS value FROM k",
 }
+# segments by sums of lengths, one step a segment; the damage lies in the middle of the first
+_DAMAGED = (
+    f"{_E}, c AS (SELECT id, n, CAST(sum(n) OVER (ORDER BY id) AS BIGINT) AS z FROM (SELECT id, CAST({codecs.RECORD_OVERHEAD} + coalesce(strlen(payload), 0) AS BIGINT) AS n FROM frames)),"
+    f" r AS (SELECT CAST(1 AS BIGINT) AS seg, CAST(0 AS BIGINT) AS base UNION ALL SELECT seg + 1, max(z) FROM r JOIN c ON z > base AND z <= base + {SEGMENT} GROUP BY seg),"
+    f" p AS (SELECT id, n, seg, z - n - base AS place FROM c JOIN r ON z > base AND z <= base + {SEGMENT}), h AS (SELECT CAST(sum(n) AS BIGINT) // 2 AS middle FROM p WHERE seg = 1),"
+    " q AS (SELECT *, seg = 1 AND place < middle + 40 AND place + n > middle AS hurt FROM p, h)"
+)
+SQL["wal_corruption_recovery"] = f'{_DAMAGED} SELECT seg AS segment_id, place AS "at", id AS sequence, n AS record_length FROM q WHERE NOT hurt'
+SQL["wal_stats"] = f"{_DAMAGED} SELECT seg AS segment_id, count(*) FILTER (NOT hurt) AS records_ok, CAST(count(*) FILTER (hurt) > 0 AS BIGINT) AS records_corrupt_skipped, CAST(coalesce(sum(n) FILTER (hurt), 0) AS BIGINT) AS bytes_skipped FROM q GROUP BY seg"
 SQL["scenario_parse"] = "SELECT * FROM (VALUES ('stream', 'imu', 200e0), ('stream', 'gps', 20e0), ('fault', 'delay/imu', 25e0), ('fault', 'burst_loss/gps', 0e0), ('assertion', 'imu_latency_p99_ms less_than', 30e0)) v(part, name, value)"
 _GATE = "SELECT c.name, '-' AS field, CAST(NULL AS DOUBLE) AS baseline, CAST(NULL AS DOUBLE) AS current, CAST(NULL AS DOUBLE) AS delta, 'NEW' AS verdict FROM (SELECT DISTINCT name FROM c) c WHERE name NOT IN (SELECT name FROM base) UNION ALL SELECT c.name, c.field, b.value, c.value, round(CASE WHEN c.field = 'drop_rate_pct' THEN c.value - b.value ELSE 100e0 * (c.value - b.value) / b.value END, 6), CASE c.field WHEN 'p99' THEN CASE WHEN c.value > b.value * 1.1e0 THEN 'FAIL' ELSE 'ok' END WHEN 'msgs_sec' THEN CASE WHEN c.value < b.value * 0.95e0 THEN 'WARN' ELSE 'ok' END ELSE CASE WHEN c.value - b.value > 0.1e0 THEN 'FAIL' ELSE 'ok' END END FROM c JOIN base b USING (name, field) WHERE c.field IN ('p99', 'msgs_sec', 'drop_rate_pct')"
 _head, _, _tail = SQL["bench_parse"].rpartition(" SELECT name, replace(")

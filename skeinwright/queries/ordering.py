@@ -247,4 +247,11 @@ SQL = {
     "tf_conflicts": f"{_TF} SELECT least(frame_id, child_frame_id) AS a, greatest(frame_id, child_frame_id) AS b, count(*) FILTER (frame_id < child_frame_id) AS forward, count(*) FILTER (frame_id > child_frame_id) AS backward FROM tf WHERE frame_id <> child_frame_id GROUP BY 1, 2 HAVING forward > 0 AND backward > 0",
     "tf_latest": f"{_TF} SELECT frame_id, child_frame_id, max_by(value, event_id) AS value, max(event_id) AS event_id FROM tf GROUP BY ALL",
 }
+_PAIRS = (
+    f"{events.SQL}, t AS (SELECT stream AS topic, id AS pos, latency AS value, CASE WHEN back THEN node ELSE 'map' END AS a, CASE WHEN back THEN 'map' ELSE node END AS b FROM (SELECT *, 'n' || (id % 9) AS node, stream = 'gps' AND id >= 200 AS back FROM frames)),"
+    " k AS (SELECT topic, a, b, min(pos) AS p FROM t GROUP BY ALL), e AS (SELECT s.topic, min(s.p) AS p FROM k s JOIN k o ON o.topic = s.topic AND o.a = s.b AND o.b = s.a AND o.p < s.p GROUP BY s.topic),"
+    " l AS (SELECT t.topic, t.pos FROM t LEFT JOIN e USING (topic) WHERE e.p IS NULL OR t.pos < e.p), g AS (SELECT l.topic, l.pos, k.a, k.b, k.p FROM l JOIN k ON k.topic = l.topic AND k.p <= l.pos),"
+    " v AS (SELECT g.*, t.value FROM g ASOF JOIN t ON g.topic = t.topic AND g.a = t.a AND g.b = t.b AND g.pos >= t.pos)"
+)
+SQL["tf_cache"] = f"""{_PAIRS} SELECT topic, pos, count(*) AS size, false AS reset, '[' || string_agg('["' || a || '", "' || b || '", ' || CAST(value AS VARCHAR) || ']', ', ' ORDER BY p) || ']' AS transforms FROM v GROUP BY topic, pos UNION ALL SELECT topic, p, 0, true, '[]' FROM e"""
 QUERIES = {f.__name__: f for f in (assign_sequence, replay_order, replay_index, replay_seek, replay_schedule, monotonic_filter, monotonic_filter_seq_only, fault_window_join, faulted_streams, fault_burst_loss, fault_disconnect, fault_drop, fault_delay, fault_duplicate, fault_reorder, fault_restart_edges, fault_bandwidth, fault_corrupt_detect, fault_stats, backpressure_sim, backpressure_stats, stale_resend, tf_filter, tf_conflicts, tf_latest, tf_cache)}

@@ -45,11 +45,12 @@ def start() -> dict:
 
 def step(state: dict, row: dict) -> tuple[dict, list[dict]]:
     """One message (topic, pos, transforms: list of {frame, child, value}). A reversed pair clears the cache,
-    ends the subscription, and discards the rest of its message; every other message emits the cache."""
+    ends the subscription, and discards the rest of its message; every other message emits the cache.
+    A null message has no transforms."""
     if state["closed"]:
         return state, []
     pairs = {(f, c): v for f, c, v in state["pairs"]}
-    for t in row["transforms"]:
+    for t in [] if row["transforms"] is None else row["transforms"]:
         key = (t["frame"], t["child"])
         if key not in pairs and key[::-1] in pairs:
             return {"pairs": [], "closed": True}, [{"topic": row["topic"], "pos": row["pos"], "size": 0, "reset": True, "transforms": "[]"}]
@@ -58,10 +59,26 @@ def step(state: dict, row: dict) -> tuple[dict, list[dict]]:
     return state, [{"topic": row["topic"], "pos": row["pos"], "size": len(pairs), "reset": False, "transforms": json.dumps(state["pairs"])}]
 
 
-def cache(df: DataFrame) -> DataFrame:
-    return ordered_fold(df.select("topic", "pos", "transforms"), "topic", ["pos"], start, step, OUT)
+def _messages(df: DataFrame, stamp: str | None) -> DataFrame:
+    if stamp is None:
+        return df.select("topic", "pos", "transforms")
+    return df.select("topic", "pos", F.transform("transforms", lambda t: t.withField(stamp, F.lit(0).cast("long"))).alias("transforms"))
 
 
-def cache_stream(df: DataFrame) -> DataFrame:
-    rows = df.select("topic", "pos", "transforms")
-    return stateful_stream(rows, "topic", ["pos"], start, step, OUT, "state string", lambda s: (json.dumps(s),), lambda s: json.loads(s[0]))
+def static_step(state: dict, row: dict) -> tuple[dict, list[dict]]:
+    """The same for transforms {frame, child, stamp, value}; each cached entry keeps its stamp beside its value."""
+    held = None if row["transforms"] is None else [{"frame": t["frame"], "child": t["child"], "value": [t["stamp"], t["value"]]} for t in row["transforms"]]
+    return step(state, {**row, "transforms": held})
+
+
+def cache(df: DataFrame, stamped: bool = False, static: bool = False) -> DataFrame:
+    """What each message (topic, pos, transforms) emits. ``stamped`` transforms have a field stamp (long) and are
+    emitted as [frame, child, [stamp, value]]; on ``static`` topics every emitted stamp is zero."""
+    rows = _messages(df, "stamp" if static else None)
+    return ordered_fold(rows, "topic", ["pos"], start, static_step if stamped or static else step, OUT)
+
+
+def cache_stream(df: DataFrame, stamped: bool = False, static: bool = False) -> DataFrame:
+    rows = _messages(df, "stamp" if static else None)
+    taken = static_step if stamped or static else step
+    return stateful_stream(rows, "topic", ["pos"], start, taken, OUT, "state string", lambda s: (json.dumps(s),), lambda s: json.loads(s[0]))
