@@ -16,9 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 
 from ..functions import codecs
 from ..functions.crc32c import checksums
@@ -129,8 +130,82 @@ class _Reader(DataSourceReader):
             yield partition.number, at, length, ts, kind, sequence, payload
 
 
+class _StreamReader(DataSourceStreamReader):
+    """Segments as they are finished: a segment's file has its name only when it is whole."""
+
+    def __init__(self, folder: str, stats: bool) -> None:
+        self.batch = _Reader(folder, stats)
+
+    def initialOffset(self) -> dict:
+        return {"segment": 0}
+
+    def latestOffset(self) -> dict:
+        return {"segment": max(p.number for p in self.batch.partitions())}
+
+    def partitions(self, start: dict, end: dict) -> list[_Segment]:
+        return [p for p in self.batch.partitions() if start["segment"] < p.number <= end["segment"]]
+
+    def read(self, partition: _Segment) -> Iterator[tuple]:
+        return self.batch.read(partition)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
+class _Files(WriterCommitMessage):
+    def __init__(self, partition: int, paths: list[str]) -> None:
+        self.partition, self.paths = partition, paths
+
+
+class _Writer(DataSourceArrowWriter):
+    """Every task rolls segments of its own under hidden names; the commit numbers them in the order of the
+    partitions, so a frame sorted by its place is written in that order, and no task sees the whole log."""
+
+    def __init__(self, folder: str, limit: int, overwrite: bool) -> None:
+        self.folder, self.limit, self.overwrite = folder, limit, overwrite
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> _Files:
+        fs, root = _store(self.folder)
+        fs.create_dir(root, recursive=True)
+        attempt, paths, out, held = uuid.uuid4().hex, [], None, 0
+        for batch in iterator:
+            rows = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("timestamp_ns", "sensor_type", "sequence", "payload")), strict=True))
+            for raw in codecs.encode_records(rows):
+                if raw is None:
+                    raise ValueError(f"a payload is over the format's limit of {codecs.MAX_PAYLOAD} bytes")
+                if out is None or held + len(raw) > self.limit:
+                    if out is not None:
+                        out.close()
+                    paths.append(f"{root}/.part-{attempt}-{len(paths)}")
+                    out, held = fs.open_output_stream(paths[-1]), 0
+                out.write(raw)
+                held += len(raw)
+        if out is not None:
+            out.close()
+        return _Files(TaskContext.get().partitionId(), paths)
+
+    def commit(self, messages: list[_Files | None]) -> None:
+        fs, root = _store(self.folder)
+        there = [(n, f.path) for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if (n := segment_number(f.base_name))]
+        if self.overwrite:
+            for _, path in there:
+                fs.delete_file(path)
+            there = []
+        number = max((n for n, _ in there), default=0)
+        for m in sorted((m for m in messages if m), key=lambda m: m.partition):
+            for path in m.paths:
+                number += 1
+                fs.move(path, f"{root}/{segment_name(number)}")
+
+    def abort(self, messages: list[_Files | None]) -> None:
+        fs, _ = _store(self.folder)
+        for path in (p for m in messages if m for p in m.paths):
+            fs.delete_file(path)
+
+
 class LogSource(DataSource):
-    """Options: path; stats=true for one row of counters a segment."""
+    """Reads in batch and as a stream, and writes rows (timestamp_ns, sensor_type, sequence, payload). Options: path;
+    stats=true for one row of counters a segment; segmentBytes, the size at which a written segment ends."""
 
     @classmethod
     def name(cls) -> str:
@@ -145,6 +220,15 @@ class LogSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options["path"], self._stats())
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _StreamReader(self.options["path"], self._stats())
+
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        missing = {"timestamp_ns", "sensor_type", "sequence", "payload"} - set(schema.names)
+        if missing:
+            raise ValueError(f"columns missing: {sorted(missing)}")
+        return _Writer(self.options["path"], int(self.options.get("segmentBytes", SEGMENT_BYTES)), overwrite)
+
 
 def read_log(spark: SparkSession, folder: str, stats: bool = False) -> DataFrame:
     ship(spark)
@@ -152,6 +236,24 @@ def read_log(spark: SparkSession, folder: str, stats: bool = False) -> DataFrame
     return spark.read.format("sflog").option("stats", str(stats).lower()).load(folder)
 
 
+def stream_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log as a stream: each micro-batch has the segments finished since the last."""
+    ship(spark)
+    spark.dataSource.register(LogSource)
+    return spark.readStream.format("sflog").load(folder)
+
+
+def save_log(df: DataFrame, folder: str, limit: int = SEGMENT_BYTES, mode: str = "append") -> None:
+    """Writes rows in the order of their partitions, in parallel: for a log in replay order sort them first.
+    Against ``write_log`` each partition's last segment may be short. A payload over the format's limit fails
+    the write, which then leaves no segment."""
+    spark = df.sparkSession
+    ship(spark)
+    spark.dataSource.register(LogSource)
+    rows = df.select("timestamp_ns", "sensor_type", "sequence", F.col("payload").cast("binary").alias("payload"))
+    rows.write.format("sflog").option("segmentBytes", str(limit)).mode(mode).save(folder)
+
+
 def replay_order(df: DataFrame) -> DataFrame:
     """Rows in replay order; ties by place keep the order stable."""
     return df.orderBy("timestamp_ns", "sequence", "segment_id", "at")
