@@ -22,14 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinwright.llm import bpe, decontam, langid, secretscan, simhash
-from skeinwright.llm.common import fresh_path, table
+from skeinwright.llm.common import fresh_path, free_names, quoted, release, table
 from skeinwright.llm.queries import tokenizer_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, "text", "lang", "doc_id")
-    found = langid.identify(docs, model, declared="lang", host="source", out="_lid")
-    return found.filter("_lid.accepted").select(*docs.columns)
+    (lid,) = free_names(docs, "lid")
+    found = langid.identify(docs, model, declared="lang", host="source", out=lid)
+    return found.filter(F.col(lid)["accepted"]).select(*map(quoted, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +38,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), out="_leaks")
-    return decontam.remove_spans(found.filter("size(_leaks.items) < 2"), leaks="_leaks").select(*docs.columns)
+    (leaks,) = free_names(docs, "leaks")
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), out=leaks)
+    return decontam.remove_spans(found.filter(F.size(F.col(leaks)["items"]) < 2), leaks=leaks).select(*map(quoted, docs.columns))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secretscan.redact_secrets(docs, out="_secrets").select(*docs.columns)
+    (spans,) = free_names(docs, "secrets")
+    return secretscan.redact_secrets(docs, out=spans).select(*map(quoted, docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = fresh_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:  # its successor is whole
+            release(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
