@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,11 +66,18 @@ def six_digits(value: Column) -> Column:
     return F.when((value != 0) & ((size >= 6) | (size < -4)), science).otherwise(plain)
 
 
-def render(series: DataFrame, kinds: dict[str, str] | None = None, helps: dict[str, str] | None = None) -> DataFrame:
-    """(name, text) for each family of (name, labels map, value): its TYPE line and its series, by labels."""
+def whole_in_full(value: Column) -> Column:
+    """A whole number below 2^63 with all its digits, any other number with six significant ones; null stays null."""
+    whole = value.try_cast("bigint")
+    return F.when((F.abs(value) < 2.0**63) & (whole.cast("double") == value), whole.cast("string")).when(value.isNotNull(), six_digits(value))
+
+
+def render(series: DataFrame, kinds: dict[str, str] | None = None, helps: dict[str, str] | None = None, number: Callable[[Column], Column] = six_digits) -> DataFrame:
+    """(name, text) for each family of (name, labels map, value): its TYPE line and its series, by labels.
+    ``number`` shows a value; six digits lose the last ones of counts and ids from 1,000,000 on."""
     shown = F.array_join(F.transform(F.array_sort(F.map_entries("labels")), lambda e: F.concat(e["key"], F.lit('="'), escape(e["value"]), F.lit('"'))), ",")
     key = F.array_join(F.transform(F.array_sort(F.map_entries("labels")), lambda e: F.concat(e["key"], F.lit("="), e["value"], F.lit(";"))), "")
-    line = F.concat(F.col("name"), F.when(F.size("labels") > 0, F.concat(F.lit("{"), shown, F.lit("}"))).otherwise(""), F.lit(" "), six_digits(F.col("value")))
+    line = F.concat(F.col("name"), F.when(F.size("labels") > 0, F.concat(F.lit("{"), shown, F.lit("}"))).otherwise(""), F.lit(" "), number(F.col("value")))
     kind = F.coalesce(F.create_map(*[F.lit(x) for kv in (kinds or {"": ""}).items() for x in kv])[F.col("name")], F.lit("gauge"))
     told = F.create_map(*[F.lit(x) for kv in (helps or {"": ""}).items() for x in kv])[F.col("name")]
     head = F.concat(F.coalesce(F.concat(F.lit("# HELP "), F.col("name"), F.lit(" "), told, F.lit("\n")), F.lit("")), F.lit("# TYPE "), F.col("name"), F.lit(" "), kind)

@@ -3,9 +3,12 @@
 import random
 import tempfile
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import compare
+from skeinwright import catalog
 from skeinwright.operators import faults, ordered, percentile
 from skeinwright.plans import scenario
 from skeinwright.sources import exposition
@@ -124,6 +127,23 @@ def test_number_format(spark):
     assert [r.t for r in shown] == [f"{v:.6g}" for v in values]
 
 
+def test_whole_numbers_in_full(spark):
+    values = [(0.0, "0"), (-0.0, "0"), (999999.0, "999999"), (1000000.0, "1000000"), (5999989.0, "5999989"), (-1234567.0, "-1234567"), (2.0**53, "9007199254740992"), (2.0**63, "9.22337e+18"), (1e20, "1e+20"), (12.5, "12.5"), (1234567.5, "1.23457e+06"), (None, None)]
+    shown = spark.createDataFrame([(v,) for v, _ in values], "v double").select(exposition.whole_in_full(F.col("v")).alias("t")).collect()
+    assert [r.t for r in shown] == [t for _, t in values]
+
+
+def test_rendered_counts_and_ids_of_seven_digits(spark, tmp_path):
+    duckdb.sql(f"COPY (SELECT k + 41 AS event_id, TIMESTAMP '2024-01-01' AS ts, 'click' AS event_type, 1e0 AS value, '' AS props FROM range(1000001) r(k)) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    assert compare.differences(spark, catalog.queries()["prom_render"], catalog.oracle_sql()["prom_render"], str(tmp_path)) == ""
+
+
+@pytest.mark.parametrize("change", ["CASE WHEN event_id % 3 > 0 THEN event_type END AS event_type", "CASE WHEN event_type <> 'click' THEN event_id END AS event_id", "CAST(NULL AS BIGINT) AS event_id", "CAST(NULL AS VARCHAR) AS event_type"])
+def test_rendered_without_stream_or_value(spark, sf, tmp_path, change):
+    duckdb.sql(f"COPY (SELECT * REPLACE ({change}) FROM '{sf}/events.parquet') TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    assert compare.differences(spark, catalog.queries()["prom_render"], catalog.oracle_sql()["prom_render"], str(tmp_path)) == ""
+
+
 def test_as_of(spark):
     left = spark.createDataFrame([(0, t) for t in (5, 10, 35, 99)], "k int, t bigint")
     right = spark.createDataFrame([(0, 10, "a"), (0, 20, "b"), (0, 31, "c")], "k int, t bigint, v string")
